@@ -9,12 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from monthlake.functions.columns import row_fingerprint
 from monthlake.functions.contract import TRIPS
 from monthlake.operators.classify import classify
+from monthlake.plans.star import calendar, fact_trips, stage_trips
 from monthlake.session import configure
+from monthlake.streaming.ingest import DELIVERED
+from monthlake.streaming.wire import decode, wire_event
 
 PROCESSED_AT = "2002-01-01 00:00:00"
-DELIVERED_FROM = "2001-07-01"
 BATCH_UNTIL = "2001-09-01"
 AS_OF = "2001-12-01 03:00:00"
 
@@ -95,7 +98,7 @@ def _spell(text: str, integer_division: str) -> str:
 
 
 def lineitem_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trips with the source file's column names, plus _branch and _source_month."""
+    """Raw trips with the source file's column names, plus _branch, _h and _source_month."""
     configure(spark)
     df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     for step in _NUMBERS:
@@ -106,10 +109,11 @@ def lineitem_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "timestampadd(SECOND, h % 86400, l_shipdate) as pickup",
         "case when h % 131 = 0 then add_months(trunc(cast(l_shipdate as date), 'month'), 1) "
         "else trunc(cast(l_shipdate as date), 'month') end as source_month",
-        f"explode(array_compact(array(0, {branches}))) as branch",
-    )
+        f"explode(array(0, {branches})) as branch",
+    ).filter("branch is not null")
     return df.selectExpr(
         "branch as _branch",
+        "h as _h",
         "source_month as _source_month",
         "pickup as tpep_pickup_datetime",
         "timestampadd(SECOND, secs, pickup) as tpep_dropoff_datetime",
@@ -133,6 +137,63 @@ def curated_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged_trips(spark, sf_dir).filter(F.col("reject_reason").isNull()).select(*names)
 
 
+def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fact_trips(stage_trips(curated_trips(spark, sf_dir)))
+
+
+def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """265 zones named after nations and regions."""
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    region = spark.read.parquet(f"{sf_dir}/region.parquet")
+    ids = spark.range(1, 266).select(F.col("id").alias("location_id"))
+    return (
+        ids.join(nation, F.col("location_id") % 25 == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(
+            "location_id",
+            F.col("n_name").alias("borough"),
+            F.concat(F.lit("Zone "), F.col("location_id").cast("string")).alias("zone_name"),
+            F.col("r_name").alias("service_zone"),
+        )
+    )
+
+
+def days(spark: SparkSession) -> DataFrame:
+    return calendar(spark, "1995-01-01", "2001-12-31")
+
+
+def envelopes(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
+    """Every trip as a delivery on the wire; branch 2 repeats the event of branch 0.
+
+    With faults, some texts lose a required field and some a union's branch name.
+    """
+    raw = lineitem_trips(spark, sf_dir)
+    typed = TRIPS.typed(raw, F.col("_branch").cast("long").alias("_branch"), F.col("_h").alias("_h"))
+    trips = typed.withColumn("trip_id", row_fingerprint(TRIPS.names))
+    late = F.expr("timestampadd(SECOND, _h % 10800 + 3 * _branch, timestamp '2001-12-01 00:00:00')")
+    data = wire_event(trips, event_id=F.col("trip_id"), event_ts=late)
+    if faults:
+        no_fare = F.regexp_replace(data, '"fare_amount":"[^"]*",', "")
+        bare = F.regexp_replace(data, r'"passenger_count":\{"long":(\d+)\}', '"passenger_count":$1')
+        h = F.col("_h")
+        data = (
+            F.when(h % 71 == 0, no_fare)
+            .when(h % 73 == 0, F.lit("not json"))
+            .when((h % 79 == 0) & (h % 11 != 0), bare)
+            .otherwise(data)
+        )
+    return trips.select(
+        F.concat_ws("-", "trip_id", "_branch").alias("message_id"),
+        late.alias("publish_time"),
+        data.alias("data"),
+    )
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decoded deliveries, as the ingest would have stored them."""
+    return decode(envelopes(spark, sf_dir)).filter("contract_error is null").select(*DELIVERED)
+
+
 # ---------------------------------------------------------------- the same rows for DuckDB
 
 
@@ -159,7 +220,7 @@ stamped as (
          else interval 0 month end as date) as source_month
   from branched),
 raw_trips as (
-  select branch, source_month, pickup as tpep_pickup_datetime,
+  select branch, h, source_month, pickup as tpep_pickup_datetime,
     pickup + to_seconds(secs) as tpep_dropoff_datetime, {plain}, {money}
   from stamped)"""
 
@@ -176,7 +237,7 @@ def _duck_canonical() -> str:
     return f"""
 trips as (
   select md5(concat_ws(chr(31), {', '.join(parts)})) as trip_id, {', '.join(plain)},
-    source_month, branch
+    source_month, branch, h
   from raw_trips)"""
 
 
@@ -246,7 +307,121 @@ fct as (
   from stg)"""
 
 
+_MILES = "sum(cast(trip_distance_miles as decimal(18,4)))::double"
+_SPEED = f"{_MILES} / nullif(sum(trip_duration_seconds)::double / 3600, 0)"
+
+
+def _duck_marts() -> str:
+    return f"""
+zones as (
+  select z.location_id, n_name as borough, 'Zone ' || z.location_id as zone_name,
+    r_name as service_zone
+  from (select unnest(range(1, 266)) as location_id) z
+  join nation on n_nationkey = z.location_id % 25 join region on r_regionkey = n_regionkey),
+dim_zone as (
+  select *, location_id in (1, 132, 138) as is_airport,
+    case location_id when 1 then 'EWR' when 132 then 'JFK' when 138 then 'LGA' end as airport_code,
+    location_id in (264, 265) as is_unknown_zone
+  from zones),
+dim_date as (
+  select cast(d as date) as date_day, year(d) as year, quarter(d) as quarter, month(d) as month,
+    monthname(d) as month_name, day(d) as day_of_month, dayofweek(d) + 1 as day_of_week,
+    dayname(d) as day_name, dayofweek(d) in (0, 6) as is_weekend, weekofyear(d) as iso_week,
+    cast(date_trunc('month', d) as date) as month_start
+  from (select unnest(generate_series(timestamp '1995-01-01', timestamp '2001-12-31',
+    interval 1 day)) as d)),
+daily as (
+  select pickup_date, count(*) as trips, count(*) filter (where has_quality_flag) as flagged_trips,
+    count(passenger_count) as trips_with_recorded_passengers,
+    sum(passenger_count)::bigint as recorded_passengers,
+    sum(passenger_count)::double / nullif(count(passenger_count), 0)
+      as avg_passengers_per_recorded_trip,
+    {_MILES} as trip_distance_miles, sum(fare_amount)::double as fare_amount,
+    sum(tip_amount)::double as tip_amount, sum(total_amount)::double as total_amount,
+    sum(case when payment_type = 1 then tip_amount else 0 end)::double
+      / nullif(sum(case when payment_type = 1 then fare_amount else 0 end)::double, 0)
+      as card_tip_rate
+  from fct group by pickup_date),
+hourly as (
+  select pickup_date, pickup_hour, count(*) as trips, sum(total_amount)::double as total_amount,
+    sum(trip_duration_seconds)::double / count(*) as avg_duration_seconds,
+    {_SPEED} as avg_speed_mph
+  from fct group by all),
+flows as (
+  select cast(date_trunc('month', pickup_date) as date) as month_start, pu_location_id,
+    do_location_id, count(*) as trips, sum(total_amount)::double as total_amount,
+    {_MILES} / count(*) as avg_distance_miles,
+    sum(trip_duration_seconds)::double / count(*) as avg_duration_seconds
+  from fct group by all),
+airport as (
+  select cast(date_trunc('month', pickup_date) as date) as month_start,
+    coalesce(p.airport_code, d.airport_code) as airport_code,
+    case when p.airport_code is not null then 'pickup' else 'dropoff' end as direction,
+    count(*) as trips, sum(total_amount)::double / count(*) as avg_total_amount,
+    {_MILES} / count(*) as avg_distance_miles,
+    sum(trip_duration_seconds)::double / count(*) as avg_duration_seconds
+  from fct join dim_zone p on p.location_id = pu_location_id
+    join dim_zone d on d.location_id = do_location_id
+  where p.is_airport or d.is_airport group by all),
+named as (
+  select month_start, pu_location_id, do_location_id, p.borough as pickup_borough,
+    p.zone_name as pickup_zone, d.borough as dropoff_borough, d.zone_name as dropoff_zone,
+    p.is_airport as pickup_is_airport, d.is_airport as dropoff_is_airport,
+    p.is_unknown_zone or d.is_unknown_zone as has_unknown_zone, trips, total_amount,
+    avg_distance_miles, avg_duration_seconds / 60 as avg_duration_minutes
+  from flows join dim_zone p on p.location_id = pu_location_id
+    join dim_zone d on d.location_id = do_location_id)"""
+
+
+def _duck_stream() -> str:
+    money = ", ".join(
+        f"cast({m} as decimal(15,2)) as {m}" for m in TRIPS.money
+    )
+    rules = {
+        "missing_required_field": "vendor_id is null or pickup_datetime is null or dropoff_datetime is null or pu_location_id is null or do_location_id is null or payment_type is null or trip_distance_miles is null or fare_amount is null or total_amount is null",
+        "invalid_location_id": "pu_location_id not between 1 and 265 or do_location_id not between 1 and 265",
+        "dropoff_before_pickup": "dropoff_datetime < pickup_datetime",
+        "duration_over_24h": "trip_duration_seconds > 86400",
+        "negative_distance": "trip_distance_miles < 0",
+        "distance_over_500_miles": "trip_distance_miles > 500",
+        "implied_speed_over_100_mph": "(trip_duration_seconds > 0 and trip_distance_miles / (trip_duration_seconds / 3600.0::double) > 100) or (trip_duration_seconds = 0 and trip_distance_miles > 0)",
+        "amount_out_of_range": " or ".join(f"abs({m}) > 10000" for m in TRIPS.money),
+        "negative_amount_unmatched": " or ".join(f"{m} < 0" for m in TRIPS.money),
+    }
+    case = " ".join(f"when {c} then '{code}'" for code, c in rules.items())
+    plain = "vendor_id, pickup_datetime, dropoff_datetime, passenger_count, trip_distance as trip_distance_miles, ratecode_id, store_and_fwd_flag, pu_location_id, do_location_id, payment_type"
+    return f"""
+stored as (
+  select trip_id as event_id, trip_id || '-' || branch as message_id,
+    timestamp '2001-12-01 00:00:00' + to_seconds(h % 10800 + 3 * branch) as publish_time,
+    {plain}, {money}
+  from trips),
+firsts as (
+  select * from stored
+  qualify row_number() over (partition by event_id order by publish_time, message_id) = 1),
+typed_events as (
+  select *, cast(pickup_datetime as date) as pickup_date, hour(pickup_datetime) as pickup_hour,
+    date_diff('second', pickup_datetime, dropoff_datetime) as trip_duration_seconds
+  from firsts),
+checked as (select *, case {case} end as reject_reason from typed_events),
+events_judged as (
+  select *, trip_distance_miles = 0 as is_zero_distance,
+    trip_duration_seconds = 0 as is_zero_duration,
+    trip_duration_seconds > 10800 as is_long_duration,
+    reject_reason is null and count(*) over (
+      partition by vendor_id, pickup_datetime, dropoff_datetime, pu_location_id, do_location_id,
+        fare_amount, reject_reason is null) > 1 as is_near_duplicate
+  from checked),
+live as (
+  select event_id as trip_id, pickup_datetime as pickup_partition_ts, * exclude (event_id),
+    coalesce(is_zero_distance or is_zero_duration or is_long_duration or is_near_duplicate, false)
+      as has_quality_flag
+  from events_judged where reject_reason is null)"""
+
+
 RAW_SQL = "with " + _duck_raw()
 TRIPS_SQL = RAW_SQL + "," + _duck_canonical()
 JUDGED_SQL = TRIPS_SQL + "," + _duck_judged()
 FACT_SQL = JUDGED_SQL + "," + _duck_fact()
+MARTS_SQL = FACT_SQL + "," + _duck_marts()
+STREAM_SQL = FACT_SQL + "," + _duck_stream()

@@ -26,6 +26,7 @@ from monthlake.operators.rules import (
     batch_rules,
     failed_codes,
     is_negative,
+    reason_columns,
     row_flags,
 )
 from monthlake.operators.skew import (
@@ -75,32 +76,32 @@ def _result(judged: DataFrame) -> DataFrame:
     return judged.select(*core, *FLAGS, *REASONS)
 
 
-def _reasons(duplicate: Column, failed: str) -> dict[str, Column]:
-    reasons = F.when(duplicate, F.array(F.lit("duplicate_row"))).otherwise(F.col(failed))
-    return {"reject_reason": F.try_element_at(reasons, F.lit(1)), "reject_reasons": reasons}
-
-
 def _by_windows(typed: DataFrame, limits: Limits) -> DataFrame:
     # Exchange first, then fingerprint and fill: the 32-byte id is not shuffled.
     rows = _signed(TRIPS.identified(typed.repartition(*GROUP)))
     side = Window.partitionBy(*SIGNATURE, "_negative").orderBy("trip_id")
     both = Window.partitionBy(*SIGNATURE)
     ranked = (
-        rows.withColumn("_rank", F.row_number().over(side))
-        .withColumn("_first_copy", F.rank().over(side))
+        rows.withColumns(
+            {"_rank": F.row_number().over(side), "_first_copy": F.rank().over(side)}
+        )
         # The highest rank of a side is its size. Reading _rank also keeps the two windows in this
         # order, so the second reuses the sort of the first.
-        .withColumn("_n_neg", F.max(F.when(F.col("_negative"), F.col("_rank"))).over(both))
-        .withColumn("_n_pos", F.max(F.when(~F.col("_negative"), F.col("_rank"))).over(both))
+        .withColumns(
+            {
+                "_n_neg": F.max(F.when(F.col("_negative"), F.col("_rank"))).over(both),
+                "_n_pos": F.max(F.when(~F.col("_negative"), F.col("_rank"))).over(both),
+            }
+        )
         .withColumn("_pairs", F.least(*[F.coalesce(n, F.lit(0)) for n in ("_n_neg", "_n_pos")]))
     )
     rules = batch_rules(F.col("_negative"), F.col("_rank") <= F.col("_pairs"), limits)
-    passes = F.size("_failed") == 0
+    passes = F.col("_failed") == ""
     # Copies rank side by side. The first copy that is not half of a pair is the one to keep.
     kept_copy = F.col("_rank") == F.greatest("_first_copy", F.col("_pairs") + 1)
     judged = (
         ranked.withColumn("_failed", failed_codes(rules))
-        .withColumns(_reasons(passes & ~kept_copy, "_failed"))
+        .withColumns(reason_columns("_failed", passes & ~kept_copy))
         .withColumn("_kept", F.col("reject_reason").isNull())
     )
     twins = F.count_if("_kept").over(Window.partitionBy(*NEAR))
@@ -141,7 +142,7 @@ def _by_counts(typed: DataFrame, limits: Limits) -> DataFrame:
         "_n_loose", F.col("_copies") - F.col("_n_paired")
     )
     loose_failed = failed_codes(batch_rules(F.col("_negative"), F.lit(False), limits))
-    counted = counted.withColumn("_clean", F.size(loose_failed) == 0)
+    counted = counted.withColumn("_clean", loose_failed == "")
     zero = F.lit(0).cast("long")
     fates = F.array(
         *[
@@ -169,7 +170,7 @@ def _by_counts(typed: DataFrame, limits: Limits) -> DataFrame:
     judged = (
         counted.withColumn("_fate", F.explode(F.filter(fates, lambda f: f["n"] > 0)))
         .withColumn("_failed", failed_codes(rules))
-        .withColumns(_reasons(F.col("_fate.duplicate"), "_failed"))
+        .withColumns(reason_columns("_failed", F.col("_fate.duplicate")))
         .withColumn("_kept", F.col("reject_reason").isNull())
         .withColumn("_times", F.col("_fate.n"))
     )

@@ -111,8 +111,25 @@ def stream_rules(limits: Limits = Limits()) -> dict[str, Column]:
 
 
 def failed_codes(rules: dict[str, Column]) -> Column:
-    """All failed codes in precedence order."""
-    return F.array_compact(F.array(*[F.when(c, F.lit(code)) for code, c in rules.items()]))
+    """All failed codes in precedence order, comma-separated; empty when none failed.
+
+    Text, not array_compact: that one runs a lambda per row outside generated code.
+    """
+    return F.concat_ws(",", *[F.when(c, F.lit(code)) for code, c in rules.items()])
+
+
+def reason_columns(failed: str, duplicate: Column) -> dict[str, Column]:
+    """reject_reasons (all codes) and reject_reason (the first, NULL when the row passes)."""
+    code = F.lit("duplicate_row")
+    none = F.col(failed) == ""
+    return {
+        "reject_reason": F.when(duplicate, code).when(
+            ~none, F.substring_index(F.col(failed), ",", 1)
+        ),
+        "reject_reasons": F.when(duplicate, F.array(code))
+        .when(none, F.array().cast("array<string>"))
+        .otherwise(F.split(failed, ",")),
+    }
 
 
 def first_failed(rules: dict[str, Column]) -> Column:
