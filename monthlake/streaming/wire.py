@@ -77,14 +77,12 @@ def decode(deliveries: DataFrame) -> DataFrame:
     batch and streaming frames. `_broken` holds text that is no JSON or has a value of another type
     than the field's.
     """
-    parsed = deliveries.withColumn(
-        "_e",
-        F.from_json(
-            "data",
-            wire_schema(),
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"},
-        ),
+    event = F.from_json(
+        "data", wire_schema(), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
     )
+    # Explode of one element: a filter on the verdict would otherwise be pushed below the parse,
+    # with the parse copied into it once per field.
+    parsed = deliveries.withColumn("_e", F.explode(F.array(event)))
     absent = F.concat_ws(
         ",", *[F.when(F.col(f"_e.{n}").isNull(), F.lit(n)) for n in REQUIRED_FIELDS]
     )
