@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from monthlake.session import configure
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -35,7 +37,7 @@ def plain_types(df: DataFrame) -> DataFrame:
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = lambda spark, sf_dir: plain_types(fn(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: plain_types(fn(configure(spark), sf_dir))
         if sql:
             SQL[name] = sql
         return fn

@@ -6,7 +6,7 @@ import operator
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY_TYPE = "decimal(15,2)"
@@ -31,3 +31,13 @@ def row_fingerprint(names: Iterable[str]) -> Column:
     separator, null_mark = "\x1f", "\x00"
     texts = [F.coalesce(F.col(n).cast("string"), F.lit(null_mark)) for n in names]
     return F.md5(F.concat_ws(separator, *texts))
+
+
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters must not copy.
+
+    A filter on a projected column is pushed below it with the whole expression in its place, once
+    per use; planning time and run time grow with every copy. An explode of one element is where
+    that stops.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))

@@ -1,6 +1,6 @@
 """Judge every row of many months at once: rules, reversal pairs, copies, near-duplicates.
 
-Ordinary trips take one exchange and one sort. Rows are hashed by (month, trip identity); every
+Ordinary trips take one exchange and one sort. Rows are hashed by trip identity; every
 window below partitions by a prefix of one sort order, so nothing is exchanged or sorted again:
 
     month, identity, fare of the original | other amounts | side | trip_id
@@ -55,11 +55,11 @@ def classify(
 
     Returns core columns, flags and reasons. `policy=None` skips the look for hot identities.
     """
-    hot = hot_hashes(typed, GROUP, policy)[0] if policy else []
+    hot = hot_hashes(typed, IDENTITY, policy)[0] if policy else []
     if not hot:
         return _by_windows(typed, limits)
-    cold = _by_windows(typed.filter(~is_hot(GROUP, hot)), limits)
-    return cold.unionByName(_by_counts(typed.filter(is_hot(GROUP, hot)), limits))
+    cold = _by_windows(typed.filter(~is_hot(IDENTITY, hot)), limits)
+    return cold.unionByName(_by_counts(typed.filter(is_hot(IDENTITY, hot)), limits))
 
 
 def _signed(trips: DataFrame) -> DataFrame:
@@ -77,8 +77,10 @@ def _result(judged: DataFrame) -> DataFrame:
 
 
 def _by_windows(typed: DataFrame, limits: Limits) -> DataFrame:
-    # Exchange first, then fingerprint and fill: the 32-byte id is not shuffled.
-    rows = _signed(TRIPS.identified(typed.repartition(*GROUP)))
+    # Exchange first, then fingerprint and fill: the 32-byte id is not shuffled. The month stays
+    # out of the hash: in a single-month job it is a constant, which the optimizer drops from the
+    # windows but not from the exchange, and they would no longer fit together.
+    rows = _signed(TRIPS.identified(typed.repartition(*IDENTITY)))
     side = Window.partitionBy(*SIGNATURE, "_negative").orderBy("trip_id")
     both = Window.partitionBy(*SIGNATURE)
     ranked = (

@@ -72,7 +72,9 @@ def repeat_rows(df: DataFrame, times: str, spread_by: str, chunk: int = 100_000)
     """Each row `times` times. Long runs are cut in chunks that go to different tasks."""
     chunks = F.floor((F.col(times) - 1) / chunk).cast("long")
     cut = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks)))
-    spread = cut.repartition(F.col(spread_by), F.col("_chunk"))
+    # A stated number: adaptive execution would merge these small partitions before they grow.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = cut.repartition(tasks, F.col(spread_by), F.col("_chunk"))
     left = F.least(F.lit(chunk).cast("long"), F.col(times) - F.col("_chunk") * chunk)
     return spread.withColumn(
         "_copy", F.explode(F.sequence(F.lit(1).cast("long"), left))

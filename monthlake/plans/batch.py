@@ -18,6 +18,7 @@ from monthlake.functions.months import Month, layout_columns, month_path
 from monthlake.operators.classify import classify
 from monthlake.operators.dq import month_reports
 from monthlake.operators.skew import DEFAULT_POLICY, HotPolicy
+from monthlake.plans.joins import dimension
 from monthlake.session import require_utc, shared_folder
 from monthlake.sources import fs, lake
 
@@ -73,7 +74,7 @@ def reports(spark: SparkSession, root: str) -> DataFrame:
 
 def committed(zone: DataFrame, reported: DataFrame) -> DataFrame:
     """Rows of months that have a report; a crashed run's months stay invisible."""
-    months = F.broadcast(reported.select(F.col("month_start").alias("source_month")))
+    months = dimension(reported.select(F.col("month_start").alias("source_month")))
     return zone.join(months, "source_month", "left_semi")
 
 

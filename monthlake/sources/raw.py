@@ -89,7 +89,9 @@ def _describe(with_digest: bool):
 
 def footers(files: DataFrame, *, digest: bool = False) -> DataFrame:
     """Footer facts per file, read in parallel; only a digest reads more than the footer."""
-    paths = files.select("path").repartition("path")
+    # A stated number: paths are tiny, and adaptive execution would merge them into one task.
+    tasks = 4 * files.sparkSession.sparkContext.defaultParallelism
+    paths = files.select("path").repartition(tasks, "path")
     return paths.mapInArrow(_describe(digest), FOOTER_SCHEMA)
 
 

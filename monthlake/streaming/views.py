@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthlake.functions.columns import whole_seconds
+from monthlake.functions.columns import computed_once, whole_seconds
 from monthlake.functions.contract import FLAGS, TRIPS
 from monthlake.operators.rules import IDENTITY, first_failed, has_any_flag, row_flags, stream_rules
 from monthlake.operators.skew import group_total
@@ -55,9 +55,8 @@ def judged_events(deliveries: DataFrame) -> DataFrame:
     The near-duplicate count is a total over (identity, fare, kept or not), read back by slot, so
     no trip identity can fill one task.
     """
-    events = typed_events(first_deliveries(deliveries)).withColumn(
-        "reject_reason", first_failed(stream_rules())
-    )
+    typed = typed_events(first_deliveries(deliveries))
+    events = computed_once(typed, "reject_reason", first_failed(stream_rules()))
     kept = F.col("reject_reason").isNull()
     keyed = events.withColumns(
         {
@@ -120,9 +119,8 @@ def dedup_within(deliveries: DataFrame, delay: str = "1 hour") -> DataFrame:
 
 def minute_counts(deliveries: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Streaming per-minute outcome counts by publish time (row rules only)."""
-    judged = typed_events(deliveries.withWatermark("publish_time", delay)).withColumn(
-        "reject_reason", first_failed(stream_rules())
-    )
+    typed = typed_events(deliveries.withWatermark("publish_time", delay))
+    judged = computed_once(typed, "reject_reason", first_failed(stream_rules()))
     kept = F.col("reject_reason").isNull()
     return (
         judged.groupBy(F.window("publish_time", "1 minute"))

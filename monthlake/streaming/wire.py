@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from monthlake.functions.columns import computed_once
+
 # Event fields in order, wire type, required or nullable. A nullable value is wrapped
 # in an object that names its branch; a required one is plain.
 EVENT_FIELDS_TEXT = """
@@ -80,9 +82,7 @@ def decode(deliveries: DataFrame) -> DataFrame:
     event = F.from_json(
         "data", wire_schema(), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
     )
-    # Explode of one element: a filter on the verdict would otherwise be pushed below the parse,
-    # with the parse copied into it once per field.
-    parsed = deliveries.withColumn("_e", F.explode(F.array(event)))
+    parsed = computed_once(deliveries, "_e", event)
     absent = F.concat_ws(
         ",", *[F.when(F.col(f"_e.{n}").isNull(), F.lit(n)) for n in REQUIRED_FIELDS]
     )
@@ -112,4 +112,5 @@ def decode(deliveries: DataFrame) -> DataFrame:
         .when(bad != "", F.concat(F.lit("unreadable: "), bad))
     )
     carried = [c for c in deliveries.columns]
-    return parsed.select(*carried, *typed, error.alias("contract_error"))
+    judged = computed_once(parsed, "contract_error", error)
+    return judged.select(*carried, *typed, "contract_error")
