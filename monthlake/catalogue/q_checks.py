@@ -28,7 +28,7 @@ def not_null(spark, sf):
 
 @query(
     "j02_unique",
-    """select l_orderkey, l_linenumber, count(*) as rows from lineitem
+    """select l_orderkey, l_linenumber::bigint as l_linenumber, count(*) as rows from lineitem
     where l_orderkey is not null and l_linenumber is not null
     group by 1, 2 having count(*) > 1""",
 )
@@ -98,6 +98,19 @@ def mart_reconciles(spark, sf):
     return checks.mart_reconciles(marts.daily_metrics(fact), fact)
 
 
+@query(
+    "j05s_stale_mart",
+    f"""{MARTS_SQL} select a.n::bigint as mart_trips, b.n as fact_trips
+    from (select sum(trips) as n from daily where pickup_date < date '2001-01-01') a
+    cross join (select count(*) as n from fct) b where a.n != b.n""",
+)
+def stale_mart(spark, sf):
+    """A mart that misses the last year does not reconcile."""
+    fact = fx.fact(spark, sf)
+    stale = fact.filter(F.col("pickup_date") < F.lit("2001-01-01").cast("date"))
+    return checks.mart_reconciles(marts.daily_metrics(stale), fact)
+
+
 @query(
     "j06_time_order",
     f"""{TRIPS_SQL} select trip_id, {text('pickup_datetime', 'dropoff_datetime')} from trips
@@ -128,6 +141,30 @@ def fact_matches(spark, sf):
     return checks.fact_matches_staging(star.fact_trips(staged), staged)
 
 
+@query(
+    "j07s_partial_fact",
+    f"""{FACT_SQL} select a.n as fact_trips, b.n as staging_trips
+    from (select count(*) as n from fct where not has_quality_flag) a
+    cross join (select count(*) as n from stg) b where a.n != b.n""",
+)
+def partial_fact(spark, sf):
+    """A fact that lost its flagged trips does not match staging."""
+    staged = star.stage_trips(fx.curated_trips(spark, sf))
+    return checks.fact_matches_staging(star.fact_trips(staged).filter("not has_quality_flag"), staged)
+
+
+@query(
+    "j08s_wrong_denominator",
+    f"""{MARTS_SQL} select {text('pickup_date')}, flagged_trips as trips,
+      trips_with_recorded_passengers
+    from daily where trips_with_recorded_passengers > flagged_trips""",
+)
+def wrong_denominator(spark, sf):
+    """A mart that counts flagged trips only has more recorded trips than trips."""
+    daily = marts.daily_metrics(fx.fact(spark, sf)).withColumn("trips", F.col("flagged_trips"))
+    return checks.recorded_above_total(daily)
+
+
 @query(
     "j08_denominator",
     f"""{MARTS_SQL} select {text('pickup_date')}, trips, trips_with_recorded_passengers

