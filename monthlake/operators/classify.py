@@ -177,7 +177,7 @@ def _by_counts(typed: DataFrame, limits: Limits) -> DataFrame:
         .withColumn("_times", F.col("_fate.n"))
     )
     near = group_total(judged, "_near", "_slot", F.col("_kept").cast("long"), "_twins")
-    flags = {**row_flags(limits), "is_near_duplicate": F.col("_kept") & (F.col("_twins") > 1)}
+    flags = {**row_flags(limits), "is_near_duplicate": F.col("_kept") & F.col("_twins").isNotNull()}
     core = [name for name, _ in TRIPS.core_schema()]
     flat = near.withColumns(flags).select(*core, *FLAGS, *REASONS, "_times")
     return _result(repeat_rows(flat, "_times", "trip_id"))

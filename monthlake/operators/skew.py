@@ -48,24 +48,27 @@ def is_hot(keys: Sequence[str], hashes: list[int]) -> Column:
     return key_hash(keys).isin(hashes)
 
 
-def slot_of(fingerprint: str) -> Column:
-    return F.substring(fingerprint, 1, SLOTS_HEX)
+def slot_of(fingerprint: str | Column) -> Column:
+    """Slot of a row from an MD5 text: even, and in the order of the text."""
+    return F.coalesce(F.substring(fingerprint, 1, SLOTS_HEX), F.lit(""))
 
 
 def group_total(
-    df: DataFrame, key: str, slot: str, value: Column, name: str
+    df: DataFrame, key: str, slot: str, value: Column, name: str, at_least: int = 2
 ) -> DataFrame:
-    """sum(value) over (partition by key) for groups of any size.
+    """sum(value) over (partition by key) for groups of any size, where it is >= at_least, else NULL.
 
     Totals come from map-side combined counts per (key, slot); they are read back on (key, slot),
-    so a hot key is spread over all its slots. `key` is never NULL (use a struct for several
-    columns: NULLs inside it compare equal, as in a window).
+    so a hot key is spread over all its slots. Small totals are dropped before they are read back:
+    usually almost all, which leaves a side the planner can broadcast once it has seen its size.
+    `key` and `slot` are never NULL (use a struct for several columns: NULLs inside it compare
+    equal, as in a window).
     """
     per_slot = df.groupBy(key, slot).agg(F.sum(value).alias("_part"))
     totals = per_slot.select(
         key, slot, F.sum("_part").over(Window.partitionBy(key)).alias(name)
-    )
-    return df.join(totals, [key, slot])
+    ).filter(F.col(name) >= at_least)
+    return df.join(totals, [key, slot], "left")
 
 
 def repeat_rows(df: DataFrame, times: str, spread_by: str, chunk: int = 100_000) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from monthlake.functions.columns import computed_once, whole_seconds
 from monthlake.functions.contract import FLAGS, TRIPS
 from monthlake.operators.rules import IDENTITY, first_failed, has_any_flag, row_flags, stream_rules
-from monthlake.operators.skew import group_total
+from monthlake.operators.skew import group_total, slot_of
 from monthlake.plans.star import FACT_COLUMNS
 
 UNIFIED_COLUMNS = (
@@ -61,11 +61,11 @@ def judged_events(deliveries: DataFrame) -> DataFrame:
     keyed = events.withColumns(
         {
             "_twin": F.struct(*IDENTITY, "fare_amount", kept.alias("kept")),
-            "_slot": F.substring(F.md5("event_id"), 1, 4),
+            "_slot": slot_of(F.md5("event_id")),
         }
     )
     counted = group_total(keyed, "_twin", "_slot", F.lit(1), "_twins").drop("_twin", "_slot")
-    flags = {**row_flags(), "is_near_duplicate": kept & (F.col("_twins") > 1)}
+    flags = {**row_flags(), "is_near_duplicate": kept & F.col("_twins").isNotNull()}
     return (
         counted.withColumns(flags)
         .drop("_twins")
