@@ -94,11 +94,12 @@ def quarantine_sink(spark, sf):
 )
 def reconcile(spark, sf):
     root = built_lake(spark, sf)
-    source = fx.lineitem_trips(spark, sf).agg(F.count(F.lit(1)).alias("source_rows"))
-    curated = batch.curated(spark, root).agg(F.count(F.lit(1)).alias("curated_rows"))
-    bad = batch.quarantine(spark, root).agg(F.count(F.lit(1)).alias("quarantined_rows"))
+    rows = F.count(F.lit(1))
+    curated = batch.curated(spark, root).agg(rows).scalar().alias("curated_rows")
+    bad = batch.quarantine(spark, root).agg(rows).scalar().alias("quarantined_rows")
+    source = fx.lineitem_trips(spark, sf).agg(rows.alias("source_rows"))
     total = F.col("curated_rows") + F.col("quarantined_rows")
-    return source.crossJoin(curated).crossJoin(bad).withColumn(
+    return source.select("source_rows", curated, bad).withColumn(
         "reconciled", F.col("source_rows") == total
     )
 

@@ -42,16 +42,16 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, key: str) ->
 
 
 def mart_reconciles(mart: DataFrame, fact: DataFrame) -> DataFrame:
-    """Daily mart against fact: two one-row sums side by side."""
-    left = mart.agg(F.sum("trips").alias("mart_trips"))
-    right = fact.agg(F.count(F.lit(1)).alias("fact_trips"))
-    return left.crossJoin(right).filter(F.col("mart_trips") != F.col("fact_trips"))
+    """Daily mart against fact: one sum beside the other, as a scalar subquery."""
+    total = mart.agg(F.sum("trips")).scalar().alias("mart_trips")
+    both = fact.agg(F.count(F.lit(1)).alias("fact_trips")).select(total, "fact_trips")
+    return both.filter(F.col("mart_trips") != F.col("fact_trips"))
 
 
 def fact_matches_staging(fact: DataFrame, staging: DataFrame) -> DataFrame:
-    left = fact.agg(F.count(F.lit(1)).alias("fact_trips"))
-    right = staging.agg(F.count(F.lit(1)).alias("staging_trips"))
-    return left.crossJoin(right).filter(F.col("fact_trips") != F.col("staging_trips"))
+    rows = staging.agg(F.count(F.lit(1))).scalar().alias("staging_trips")
+    both = fact.agg(F.count(F.lit(1)).alias("fact_trips")).select("fact_trips", rows)
+    return both.filter(F.col("fact_trips") != F.col("staging_trips"))
 
 
 def dropoff_before_pickup(staging: DataFrame) -> DataFrame:

@@ -106,16 +106,14 @@ def stream_quality(
 ) -> DataFrame:
     """Every delivery of the last day by outcome; what is left over are duplicate deliveries.
 
-    Both inputs become counts first; only one-row frames meet.
+    Both inputs become counts first; the difference is one row and a scalar subquery.
     """
     now = F.current_timestamp() if as_of is None else as_of
     recent = F.col("publish_time") >= now - F.expr(f"interval {hours} hours")
     outcome = F.coalesce("reject_reason", F.lit("kept")).alias("outcome")
     counts = events.filter(recent).groupBy(outcome).agg(F.count(F.lit(1)).alias("events"))
-    judged = counts.agg(F.coalesce(F.sum("events"), F.lit(0)).alias("_judged"))
-    all_rows = deliveries.filter(recent).agg(F.count(F.lit(1)).alias("_all"))
-    repeats = all_rows.crossJoin(judged).select(
-        F.lit("duplicate_delivery").alias("outcome"),
-        (F.col("_all") - F.col("_judged")).alias("events"),
+    judged = events.filter(recent).agg(F.count(F.lit(1))).scalar()
+    repeats = deliveries.filter(recent).agg(F.count(F.lit(1)).alias("_all")).select(
+        F.lit("duplicate_delivery").alias("outcome"), (F.col("_all") - judged).alias("events")
     )
     return counts.unionByName(repeats)

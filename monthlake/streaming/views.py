@@ -92,12 +92,11 @@ def fact_live(judged: DataFrame) -> DataFrame:
 def fact_unified(fact: DataFrame, live: DataFrame, mark: DataFrame) -> DataFrame:
     """Batch history plus the stream's tail strictly after the one-row high-water mark.
 
-    The mark is one row by construction, so the cross join with it is a broadcast of one value. A
-    NULL mark (empty fact) serves no stream rows.
+    The mark is a scalar subquery: found once, then a plain filter on the stream side. A NULL mark
+    (empty fact) serves no stream rows.
     """
-    tail = live.crossJoin(F.broadcast(mark.select("batch_high_water").limit(1))).filter(
-        F.col("pickup_datetime") > F.col("batch_high_water")
-    )
+    newest = mark.select("batch_high_water").scalar()
+    tail = live.filter(F.col("pickup_datetime") > newest)
     return fact.select(*UNIFIED_COLUMNS, F.lit("batch").alias("served_from")).unionByName(
         tail.select(*UNIFIED_COLUMNS, F.lit("stream").alias("served_from"))
     )

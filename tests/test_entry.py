@@ -42,7 +42,7 @@ def test_registry():
     assert set(sql) <= set(queries)
     assert set(queries) - set(sql) == {
         "a02_manifest", "a03_schema_survey", "a03y_rows_by_file", "k02_quantiles",
-        "k09q_speed_quantiles", "k10_fast_medians",
+        "k09q_speed_quantiles",
     }
 
 
