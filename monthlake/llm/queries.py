@@ -2,17 +2,34 @@
 
 from __future__ import annotations
 
-from monthlake.llm import mixing, quality_rules, url_filter
+from monthlake.llm import (
+    language_id,
+    license_scan,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    url_filter,
+)
 from monthlake.session import configure
 
+#: Whole texts travel in these batches; a few thousand bound the memory of a Python worker.
+BATCH_ROWS = "2000"
+
 
 def _configured(fn):
-    return lambda spark, sf_dir: fn(configure(spark), sf_dir)
+    def run(spark, sf_dir):
+        configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return fn(spark, sf_dir)
+
+    return run
 
 
 _ALL = [
+    quality_classifier.op1_quality_classifier,
     quality_rules.op2_quality_rules,
+    language_id.op3_language_id,
     mixing.op4_source_mix,
+    license_scan.op9_license_scan,
     url_filter.op10_url_filter,
 ]
 
@@ -20,5 +37,6 @@ QUERIES = {fn.__name__: _configured(fn) for fn in _ALL}
 SQL = {
     "op2_quality_rules": quality_rules.OP2_SQL,
     "op4_source_mix": mixing.OP4_SQL,
+    "op9_license_scan": license_scan.OP9_SQL,
     "op10_url_filter": url_filter.OP10_SQL,
 }
