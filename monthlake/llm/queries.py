@@ -6,6 +6,7 @@ from monthlake.llm import (
     language_id,
     license_scan,
     mixing,
+    packing,
     quality_classifier,
     quality_rules,
     url_filter,
@@ -29,6 +30,7 @@ _ALL = [
     quality_rules.op2_quality_rules,
     language_id.op3_language_id,
     mixing.op4_source_mix,
+    packing.op8_best_fit_packing,
     license_scan.op9_license_scan,
     url_filter.op10_url_filter,
 ]
