@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from monthlake.llm import (
+    embedding_dedup,
     language_id,
     license_scan,
     mixing,
@@ -30,6 +31,7 @@ _ALL = [
     quality_rules.op2_quality_rules,
     language_id.op3_language_id,
     mixing.op4_source_mix,
+    embedding_dedup.op5_embedding_dedup,
     packing.op8_best_fit_packing,
     license_scan.op9_license_scan,
     url_filter.op10_url_filter,
