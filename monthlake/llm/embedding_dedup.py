@@ -13,7 +13,7 @@ little; tiles bound memory and spread the work, they do not change that.
 
 Defined cases: a row links with nothing (n_links 0, its own component) when its label or vector is
 null, empty, zero, or holds null or non-finite components; vectors of different length are not
-compared. A row with null vec_id links with nothing, and its component and kept are null. Rows that
+compared. A row with null vec_id links with nothing, and its component is null and it is not kept. Rows that
 repeat a vec_id count as vectors of their own. An empty table gives an empty result.
 """
 
@@ -231,7 +231,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
     return linked.select("vec_id", "n_links", "component_id").unionAll(alone).withColumn(
-        "kept", F.col("vec_id") == F.col("component_id")
+        "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))
     )
 
 

@@ -6,6 +6,7 @@ from monthlake.llm import (
     embedding_dedup,
     language_id,
     license_scan,
+    minhash,
     mixing,
     packing,
     quality_classifier,
@@ -32,6 +33,7 @@ _ALL = [
     language_id.op3_language_id,
     mixing.op4_source_mix,
     embedding_dedup.op5_embedding_dedup,
+    minhash.op7_minhash_dedup,
     packing.op8_best_fit_packing,
     license_scan.op9_license_scan,
     url_filter.op10_url_filter,
