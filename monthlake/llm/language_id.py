@@ -131,8 +131,9 @@ def predict_texts(texts, names: list[str], matrix: np.ndarray) -> tuple[list[str
 
 
 def predict(docs: DataFrame, model, text: str = "text") -> DataFrame:
-    """`docs` with lang_pred and score."""
+    """`docs` with lang_pred and score; columns of those names are replaced."""
     names, matrix = model
+    docs = docs.drop("lang_pred", "score")
 
     @F.pandas_udf("lang_pred string, score double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

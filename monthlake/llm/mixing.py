@@ -13,7 +13,7 @@ tables are joined by `dimension`, which broadcasts only after a size check.
 
 Defined cases: null text has size 0 and is never taken; a null source is a source of its own, last
 in order; rows that repeat id and text share one decision; an empty table gives an empty result;
-extra columns survive `mix`.
+extra columns survive `mixed_rows` and are dropped by `mix`.
 """
 
 from __future__ import annotations
@@ -131,47 +131,68 @@ def thresholds(slim: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, weights=rotating_weights, max_repeat: int = MAX_REPEAT, seed: str = "") -> DataFrame:
-    """`docs` with size, source_size, target, copies and taken (= copies * size); nothing dropped.
+def _hashed(docs: DataFrame, seed: str) -> DataFrame:
+    return docs.withColumn("_src", F.col("source")).withColumn("_hash", doc_hash(F.col("doc_id"), F.col("text"), seed))
 
-    The slim table (all columns but the text, with size and hash) is written once to the shared
-    folder, so each histogram level rereads a few bytes per row and no text.
-    """
-    spark = docs.sparkSession
-    path = shared_folder(spark, "mix")
-    (
-        docs.select(
-            *[F.col(f"`{c}`") for c in docs.columns if c != "text"],
-            F.col("source").alias("_src"),
-            tx.n_words(F.col("text")).alias("size"),
-            doc_hash(F.col("doc_id"), F.col("text"), seed).alias("_hash"),
-        ).write.parquet(path)
-    )
-    slim = spark.read.parquet(path)
-    sizes = slim.groupBy("_src").agg(F.sum("size").alias("source_size"))
-    plan = targets(weights(sizes), max_repeat)
+
+def settle(slim: DataFrame, weights=rotating_weights, max_repeat: int = MAX_REPEAT) -> DataFrame:
+    """For each source: source_size, target, _whole (copies of all its documents) and below (the
+    hash under which a document gives one copy more). `slim` has _src, _hash and size."""
+    spark = slim.sparkSession
+    plan = targets(weights(slim.groupBy("_src").agg(F.sum("size").alias("source_size"))), max_repeat)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     plan = plan.withColumn("_whole", F.least(F.floor(ratio), F.lit(max_repeat)).cast("long")).withColumn(
         "budget", F.col("target") - F.col("_whole") * F.col("source_size")
     )
-    small = shared_folder(spark, "mix-plan")
-    plan.write.parquet(small)
-    plan = spark.read.parquet(small)
-    below = thresholds(slim.select("_src", "_hash", "size"), plan.select("_src", "budget"))
-    settled = plan.alias("p").join(below.alias("b"), _same_source("p", "b"), "left").select("p.*", "b.below")
-    extra = (F.col("_hash") < F.coalesce("below", F.lit(0))) & (F.col("_whole") < max_repeat)
-    return (
-        slim.alias("d")
-        .join(dimension(settled).alias("s"), _same_source("d", "s"))
-        .select("d.*", "s.source_size", "s.target", (F.col("_whole") + F.when(extra, 1).otherwise(0)).alias("copies"))
-        .withColumn("taken", F.col("copies") * F.col("size"))
-        .drop("_src", "_hash")
+    path = shared_folder(spark, "mix-plan")
+    plan.write.parquet(path)
+    plan = spark.read.parquet(path)
+    below = thresholds(slim, plan.select("_src", "budget"))
+    settled = plan.alias("p").join(below.alias("b"), _same_source("p", "b"), "left").select(
+        "p._src", "p.source_size", "p.target", "p._whole", F.coalesce("b.below", F.lit(0)).alias("below")
     )
+    path = shared_folder(spark, "mix-plan")
+    settled.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def with_copies(hashed: DataFrame, settled: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
+    """`hashed` (with _src and _hash) and source_size, target, copies."""
+    extra = (F.col("_hash") < F.col("below")) & (F.col("_whole") < max_repeat)
+    copies = F.col("_whole") + F.when(extra, 1).otherwise(0)
+    joined = hashed.alias("d").join(dimension(settled).alias("s"), _same_source("d", "s"))
+    return joined.select("d.*", "s.source_size", "s.target", copies.alias("copies")).drop("_src", "_hash")
 
 
-def repeat_rows(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """Each row as often as the mix takes it."""
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*columns)
+def _slim(docs: DataFrame, seed: str) -> DataFrame:
+    """doc_id, _src, _hash and size, written once, so that no histogram level reads texts again."""
+    path = shared_folder(docs.sparkSession, "mix")
+    sized = _hashed(docs.select("doc_id", "text", "source"), seed)
+    sized.select("doc_id", "_src", "_hash", tx.n_words(F.col("text")).alias("size")).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def mix(docs: DataFrame, weights=rotating_weights, max_repeat: int = MAX_REPEAT, seed: str = "") -> DataFrame:
+    """doc_id, size, source_size, target, copies and taken (= copies * size) of every row."""
+    slim = _slim(docs, seed)
+    settled = settle(slim, weights, max_repeat)
+    return with_copies(slim, settled, max_repeat).withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def mixed_rows(docs: DataFrame, weights=rotating_weights, max_repeat: int = MAX_REPEAT, seed: str = "") -> DataFrame:
+    """The rows of `docs`, each as often as the mix takes it; rows without a word are left out.
+
+    Texts are read twice and not shuffled.
+    """
+    settled = settle(_slim(docs, seed), weights, max_repeat)
+    rows = docs.filter(F.col("text").rlike(tx.WORD)).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    keyed = rows.select(
+        "_row",
+        F.col("_row.source").alias("_src"),
+        doc_hash(F.col("_row.doc_id"), F.col("_row.text"), seed).alias("_hash"),
+    )
+    taken = with_copies(keyed, settled, max_repeat).filter(F.col("copies") > 0)
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
 
 
 def op4_source_mix(spark, sf_dir: str) -> DataFrame:

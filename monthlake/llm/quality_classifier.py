@@ -23,6 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from monthlake.functions.columns import computed_once
 from monthlake.llm import text as tx
 
 MAX_LABELLED = 12_000
@@ -155,7 +156,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`_row` (the input row), score and predicted."""
     featured, _ = features(docs, text)
-    scored = featured.select("_row", model.score().alias("score"))
+    # Else a filter on the verdict would carry copies of all feature expressions below it.
+    scored = computed_once(featured, "score", model.score()).select("_row", "score")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from monthlake.functions.columns import computed_once
 from monthlake.llm import text as tx
 
 SYMBOLS = "#*$%&|<>"
@@ -140,7 +141,9 @@ def broken(rule: Rule) -> Column:
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """`_row` (the input row), the metrics, `broken_rules` (names, in table order) and `kept`."""
     names = F.filter(F.array(*[F.when(broken(r), r.name) for r in rules]), lambda x: x.isNotNull())
-    return metrics(docs, text).withColumn("broken_rules", names).withColumn("kept", F.size("broken_rules") == 0)
+    # Else a filter on the verdict would carry copies of all metrics below it.
+    judged = computed_once(metrics(docs, text), "broken_rules", names)
+    return judged.withColumn("kept", F.size("broken_rules") == 0)
 
 
 def op2_quality_rules(spark, sf_dir: str) -> DataFrame:

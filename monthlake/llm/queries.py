@@ -11,6 +11,7 @@ from monthlake.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    suffix_dedup,
     url_filter,
 )
 from monthlake.session import configure
@@ -33,6 +34,7 @@ _ALL = [
     language_id.op3_language_id,
     mixing.op4_source_mix,
     embedding_dedup.op5_embedding_dedup,
+    suffix_dedup.op6_suffix_dedup,
     minhash.op7_minhash_dedup,
     packing.op8_best_fit_packing,
     license_scan.op9_license_scan,
