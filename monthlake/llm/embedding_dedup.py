@@ -124,14 +124,14 @@ def tiles(classes: DataFrame, axes: dict[int, np.ndarray]) -> DataFrame:
 
     @F.pandas_udf("array<double>")
     def leading(vectors: pd.Series) -> pd.Series:
-        out = pd.Series([None] * len(vectors), dtype=object)
+        out = [None] * len(vectors)
         dims = vectors.map(len)
         for dim in dims.unique():
             at = np.flatnonzero(dims == dim)
             lead = _units(vectors.iloc[at]) @ axes[int(dim)][:, :BOX]
             for k, row in zip(at, lead, strict=True):
-                out.iloc[k] = row
-        return out
+                out[k] = row.tolist()
+        return pd.Series(out, dtype=object)
 
     place = F.least(F.floor((F.get("lead", F.lit(0)) + 1) * (BINS // 2)), F.lit(BINS - 1)).cast("int")
     led = classes.withColumn("lead", leading("embedding")).withColumn("bin", place)
