@@ -314,7 +314,7 @@ fct as (
   from stg)"""
 
 
-_MILES = "sum(cast(trip_distance_miles as decimal(18,4)))::double"
+_MILES = "fsum(cast(trip_distance_miles as double))"  # compensated sum of the plain doubles
 _SPEED = f"{_MILES} / nullif(sum(trip_duration_seconds)::double / 3600, 0)"
 
 

@@ -13,28 +13,28 @@ from monthlake.functions.columns import row_fingerprint
 
 # Source column (any case), canonical column, type, whether a file may lack it.
 # The order is the output order and the order the fingerprint reads.
-TRIP_COLUMNS_TEXT = """
-VendorID               vendor_id              bigint         required
-tpep_pickup_datetime   pickup_datetime        timestamp_ntz  required
-tpep_dropoff_datetime  dropoff_datetime       timestamp_ntz  required
-passenger_count        passenger_count        bigint         required
-trip_distance          trip_distance          double         required
-RatecodeID             ratecode_id            bigint         required
-store_and_fwd_flag     store_and_fwd_flag     string         required
-PULocationID           pu_location_id         bigint         required
-DOLocationID           do_location_id         bigint         required
-payment_type           payment_type           bigint         required
-fare_amount            fare_amount            decimal(15,2)  required
-extra                  extra                  decimal(15,2)  required
-mta_tax                mta_tax                decimal(15,2)  required
-tip_amount             tip_amount             decimal(15,2)  required
-tolls_amount           tolls_amount           decimal(15,2)  required
-improvement_surcharge  improvement_surcharge  decimal(15,2)  required
-total_amount           total_amount           decimal(15,2)  required
-congestion_surcharge   congestion_surcharge   decimal(15,2)  required
-airport_fee            airport_fee            decimal(15,2)  optional
-cbd_congestion_fee     cbd_congestion_fee     decimal(15,2)  optional
-"""
+TRIP_COLUMNS = (
+    ("VendorID", "vendor_id", "bigint", False),
+    ("tpep_pickup_datetime", "pickup_datetime", "timestamp_ntz", False),
+    ("tpep_dropoff_datetime", "dropoff_datetime", "timestamp_ntz", False),
+    ("passenger_count", "passenger_count", "bigint", False),
+    ("trip_distance", "trip_distance", "double", False),
+    ("RatecodeID", "ratecode_id", "bigint", False),
+    ("store_and_fwd_flag", "store_and_fwd_flag", "string", False),
+    ("PULocationID", "pu_location_id", "bigint", False),
+    ("DOLocationID", "do_location_id", "bigint", False),
+    ("payment_type", "payment_type", "bigint", False),
+    ("fare_amount", "fare_amount", "decimal(15,2)", False),
+    ("extra", "extra", "decimal(15,2)", False),
+    ("mta_tax", "mta_tax", "decimal(15,2)", False),
+    ("tip_amount", "tip_amount", "decimal(15,2)", False),
+    ("tolls_amount", "tolls_amount", "decimal(15,2)", False),
+    ("improvement_surcharge", "improvement_surcharge", "decimal(15,2)", False),
+    ("total_amount", "total_amount", "decimal(15,2)", False),
+    ("congestion_surcharge", "congestion_surcharge", "decimal(15,2)", False),
+    ("airport_fee", "airport_fee", "decimal(15,2)", True),
+    ("cbd_congestion_fee", "cbd_congestion_fee", "decimal(15,2)", True),
+)
 # What a missing value becomes after the fingerprint is taken.
 TRIP_FILLS = {
     "ratecode_id": "99",
@@ -64,9 +64,8 @@ class Contract:
     fills: dict[str, str]
 
     @classmethod
-    def from_text(cls, text: str, fills: dict[str, str]) -> Contract:
-        rows = [line.split() for line in text.strip().splitlines()]
-        return cls(tuple(SourceColumn(s, n, t, p == "optional") for s, n, t, p in rows), fills)
+    def of(cls, rows: tuple[tuple[str, str, str, bool], ...], fills: dict[str, str]) -> Contract:
+        return cls(tuple(SourceColumn(*row) for row in rows), fills)
 
     @property
     def names(self) -> tuple[str, ...]:
@@ -76,21 +75,23 @@ class Contract:
     def money(self) -> tuple[str, ...]:
         return tuple(c.name for c in self.columns if c.type.startswith("decimal"))
 
+    def _faults(self, by_key: dict[str, list[str]]) -> list[str]:
+        """What is wrong with a file's column names, grouped by their lower case; empty when nothing is."""
+        keys = {c.source.lower(): c for c in self.columns}
+        twice = [f"columns {' and '.join(map(repr, v))} differ only in case" for v in by_key.values() if len(v) > 1]
+        unknown = sorted(v[0] for k, v in by_key.items() if k not in keys)
+        missing = sorted(c.source for k, c in keys.items() if not (c.optional or k in by_key))
+        told = (("unknown columns", unknown), ("required but missing", missing))
+        return twice + [f"{what} {names}" for what, names in told if names]
+
     def resolve(self, found: list[str]) -> dict[str, str]:
         """Canonical name -> the file's own column name. Reads names only, never data."""
-        own: dict[str, str] = {}
+        by_key: dict[str, list[str]] = {}
         for column in found:
-            clash = own.setdefault(column.lower(), column)
-            if clash != column:
-                raise ContractViolation(f"columns {clash!r} and {column!r} differ only in case")
-        wanted = {c.source.lower(): c for c in self.columns}
-        unknown = sorted(own[k] for k in own.keys() - wanted.keys())
-        absent = sorted(
-            c.source for k, c in wanted.items() if k not in own and not c.optional
-        )
-        if unknown or absent:
-            raise ContractViolation(f"unknown columns {unknown}, required but missing {absent}")
-        return {c.name: own[k] for k, c in wanted.items() if k in own}
+            by_key.setdefault(column.lower(), []).append(column)
+        if faults := self._faults(by_key):
+            raise ContractViolation("; ".join(faults))
+        return {c.name: by_key[key][0] for c in self.columns if (key := c.source.lower()) in by_key}
 
     def typed(self, raw: DataFrame, *carry: Column) -> DataFrame:
         """Rename and cast; an absent optional column becomes NULL of its type.
@@ -99,11 +100,11 @@ class Contract:
         overflow instead of losing a value.
         """
         own = self.resolve([c for c in raw.columns if not c.startswith("_")])
-        cols = [
-            (F.col(f"`{own[c.name]}`") if c.name in own else F.lit(None)).cast(c.type).alias(c.name)
-            for c in self.columns
-        ]
-        return raw.select(*cols, *carry)
+        present = raw.select(*[F.col(f"`{column}`").alias(name) for name, column in own.items()], *carry)
+        gaps = {c.name: F.lit(None) for c in self.columns if c.name not in own}
+        kinds = {c.name: F.col(c.name).cast(c.type) for c in self.columns}
+        carried = present.columns[len(own) :]
+        return present.withColumns(gaps).withColumns(kinds).select(*self.names, *carried)
 
     def identified(self, typed: DataFrame) -> DataFrame:
         """Add trip_id from the values as published, then apply the fills."""
@@ -144,7 +145,7 @@ class Contract:
         ]
 
 
-TRIPS = Contract.from_text(TRIP_COLUMNS_TEXT, TRIP_FILLS)
+TRIPS = Contract.of(TRIP_COLUMNS, TRIP_FILLS)
 
 
 def check_schema(found: T.StructType, declared: list[tuple[str, str]], what: str) -> None:

@@ -33,10 +33,10 @@ from monthlake.operators.skew import (
     DEFAULT_POLICY,
     HotPolicy,
     group_total,
-    hot_hashes,
-    is_hot,
+    hot_keys,
     repeat_rows,
     slot_of,
+    split_hot,
 )
 
 GROUP = ("source_month", *IDENTITY)
@@ -55,11 +55,11 @@ def classify(
 
     Returns core columns, flags and reasons. `policy=None` skips the look for hot identities.
     """
-    hot = hot_hashes(typed, IDENTITY, policy)[0] if policy else []
-    if not hot:
+    hot = hot_keys(typed, IDENTITY, policy) if policy else None
+    if hot is None or hot.isEmpty():
         return _by_windows(typed, limits)
-    cold = _by_windows(typed.filter(~is_hot(IDENTITY, hot)), limits)
-    return cold.unionByName(_by_counts(typed.filter(is_hot(IDENTITY, hot)), limits))
+    ordinary, crowded = split_hot(typed, IDENTITY, hot)
+    return _by_windows(ordinary, limits).unionByName(_by_counts(crowded, limits))
 
 
 def _signed(trips: DataFrame) -> DataFrame:

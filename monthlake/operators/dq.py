@@ -45,6 +45,7 @@ def month_reports(judged: DataFrame) -> DataFrame:
         aggs[f"_hit_{code}"] = F.count_if(F.array_contains("reject_reasons", code))
     for flag in FLAGS:
         aggs[f"_{flag}"] = F.count_if(kept & F.col(flag))
+    aggs["processed_at"] = F.max("processed_at")
     aggs["passenger_count_null_rows"] = F.count_if(F.col("passenger_count").isNull())
     wide = judged.groupBy("source_month").agg(*[a.alias(n) for n, a in aggs.items()])
     bad = F.col("source_rows") - F.col("curated_rows")
@@ -60,6 +61,7 @@ def month_reports(judged: DataFrame) -> DataFrame:
             "soft_flag_counts"
         ),
         "passenger_count_null_rows",
+        "processed_at",
     )
 
 

@@ -1,4 +1,4 @@
-"""Hot keys: finding them with a bounded sketch, and group operators no hot key can break."""
+"""Hot keys: finding them by counting a sample, and group operators no hot key can break."""
 
 from __future__ import annotations
 
@@ -8,21 +8,24 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from monthlake.plans.joins import dimension
+from monthlake.session import shared_folder
+
 SLOTS_HEX = 4  # hex digits of an MD5 used as slot: 65,536 slots, so no slot window can grow hot
 
 
+SAMPLE_HITS = 200  # sampled rows expected of a key that has just min_rows
+
+
 @dataclass(frozen=True)
 class HotPolicy:
-    """A key is hot when it holds more than `min_rows` rows and more than `share` of all rows.
+    """A key is hot when it holds more than `min_rows` rows, however many rows there are in all.
 
-    The sketch tracks `tracked` items, so every key above about 3.5/tracked of the rows is found;
-    the answer holds at most `limit` hashes, whatever the data.
+    Keys are counted on a sample that gives such a key SAMPLE_HITS rows, and taken from three
+    quarters of that on; with min_rows up to SAMPLE_HITS every row is counted, and the test is exact.
     """
 
     min_rows: int = 2_000_000
-    share: float = 1 / 2_000
-    limit: int = 2_000
-    tracked: int = 16_000
 
 
 DEFAULT_POLICY = HotPolicy()
@@ -32,20 +35,26 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def hot_hashes(
-    df: DataFrame, keys: Sequence[str], policy: HotPolicy = DEFAULT_POLICY
-) -> tuple[list[int], int]:
-    """Hashes of the hot keys, and the row count, from one pass that shuffles only sketches."""
-    row = df.select(key_hash(keys).alias("h")).agg(
-        F.expr(f"approx_top_k(h, {policy.limit}, {policy.tracked})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    ).head()
-    floor = max(policy.min_rows, row.n * policy.share)
-    return [t["item"] for t in (row.top or []) if t["count"] > floor], row.n
+def hot_keys(df: DataFrame, keys: Sequence[str], policy: HotPolicy = DEFAULT_POLICY) -> DataFrame:
+    """_hot: hashes of the hot keys, written once, so that both routes see the same ones.
 
-
-def is_hot(keys: Sequence[str], hashes: list[int]) -> Column:
-    return key_hash(keys).isin(hashes)
+    A grouped count over the sample: it combines on the map side, no task and no driver holds all
+    keys, and there is no bound on how many are found.
+    """
+    share = min(1.0, SAMPLE_HITS / policy.min_rows)
+    rows = df.select(key_hash(keys).alias("_hot"))
+    rows = rows.sample(share, seed=17) if share < 1 else rows
+    least = policy.min_rows if share == 1.0 else 0.75 * SAMPLE_HITS
+    path = shared_folder(df.sparkSession, "hot")
+    rows.groupBy("_hot").count().filter(F.col("count") > least).select("_hot").write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys, and rows of hot ones."""
+    side = dimension(hot)
+    same = key_hash(keys) == F.col("_hot")
+    return df.join(side, same, "left_anti"), df.join(side, same, "left_semi")
 
 
 def slot_of(fingerprint: str | Column) -> Column:

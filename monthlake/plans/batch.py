@@ -20,7 +20,7 @@ from monthlake.operators.dq import month_reports
 from monthlake.operators.skew import DEFAULT_POLICY, HotPolicy
 from monthlake.plans.joins import dimension
 from monthlake.session import require_utc, shared_folder
-from monthlake.sources import fs, lake
+from monthlake.sources import fs, lake, raw
 
 CLUSTER = {"curated": ("pu_location_id", "do_location_id"), "quarantine": ("reject_reason",)}
 
@@ -60,6 +60,7 @@ REPORT_SCHEMA = [
     ("soft_flag_counts", "map<string,bigint>"),
     ("passenger_count_null_rows", "bigint"),
     ("processed_at", "timestamp"),
+    ("source_file", "string"),
     ("spark_version", "string"),
 ]
 
@@ -82,6 +83,12 @@ def _with_layout(df: DataFrame) -> DataFrame:
     return df.withColumns(layout_columns(F.col("source_month")))
 
 
+def in_directories(months: list[Month]):
+    """Rows of these months by directory, so the files of other months are not opened."""
+    names = [f"{m.first:%Y-%m}" for m in months]
+    return F.concat(F.col("year"), F.lit("-"), F.col("month")).isin(names)
+
+
 def _counts(df: DataFrame) -> dict[date, int]:
     """Rows per month; as many driver rows as months."""
     rows = df.groupBy("source_month").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -95,10 +102,12 @@ def run_months(
     months: list[Month],
     *,
     policy: HotPolicy | None = DEFAULT_POLICY,
+    sources: dict[date, str] | None = None,
 ) -> DataFrame:
     """Process `months` of `typed` (contract columns, source_month, processed_at) in one job.
 
-    Returns the reports of these months. Running it again replaces the same partitions.
+    Returns the reports of these months. Running it again replaces the same partitions. `sources`
+    names the files each month was read from, for its report.
     """
     require_utc(spark)
     for month in months:
@@ -115,9 +124,11 @@ def run_months(
         "curated": (judged.filter(kept), TRIPS.curated_schema()),
         "quarantine": (judged.filter(~kept), TRIPS.quarantine_schema()),
     }
+    named = [x for k, v in sorted((sources or {}).items()) for x in (F.lit(k), F.lit(v))]
+    files = F.create_map(*named) if named else F.lit(None).cast("map<date,string>")
     fresh = month_reports(judged).withColumns(
         {
-            "processed_at": F.lit(_clock(judged)),
+            "source_file": F.element_at(files, F.col("month_start")),
             "spark_version": F.lit(pyspark.__version__),
         }
     )
@@ -136,7 +147,7 @@ def run_months(
                     spark, f"{root}/{zone}", year=f"{month.first:%Y}", month=f"{month.first:%m}"
                 )
         zone_rows = curated(spark, root) if zone == "curated" else quarantine(spark, root)
-        written[zone] = _counts(zone_rows.filter(F.col("source_month").isin(firsts)))
+        written[zone] = _counts(zone_rows.filter(in_directories(months)))
     _reconcile(months, source, said, written)
     spark.createDataFrame(list(said.values()), fresh.schema).withColumns(
         layout_columns(F.col("month_start"))
@@ -147,9 +158,71 @@ def run_months(
     return reports(spark, root).filter(F.col("month_start").isin(firsts))
 
 
-def _clock(judged: DataFrame):
-    first = judged.select("processed_at").limit(1).collect()
-    return first[0].processed_at if first else None
+def run_folder(
+    spark: SparkSession,
+    folder: str,
+    root: str,
+    months: list[Month],
+    *,
+    processed_at,
+    policy: HotPolicy | None = DEFAULT_POLICY,
+) -> DataFrame:
+    """Read the files of `months` below `folder` and process them.
+
+    The old reports go before a file is opened: a month whose file breaks the contract is left
+    without a report, and cannot be loaded.
+    """
+    for month in months:
+        fs.delete(spark, month_path(root, "reports", month))
+    wanted = [f"{m.first:%Y-%m}" for m in months]
+    files = raw.list_files(spark, folder).withColumn("period", raw.file_period(F.col("path")))
+    files = files.filter(F.col("period").isin(wanted))
+    names = files.groupBy("period").agg(F.sort_array(F.collect_list(F.regexp_extract("path", r"([^/]+)$", 1))).alias("f"))
+    sources = {Month.of(r.period).first: ",".join(r.f) for r in names.collect()}  # one row per month
+    absent = [str(m) for m in months if m.first not in sources]
+    if absent:
+        raise FileNotFoundError(f"no source file for {absent}")
+    typed = raw.read_months(spark, folder, processed_at=processed_at, files=files)
+    return run_months(spark, typed, root, months, policy=policy, sources=sources)
+
+
+def backfill(
+    spark: SparkSession, folder: str, root: str, warehouse: str, months: list[Month], *, processed_at
+) -> DataFrame:
+    """Process and load the months that are not done; a bad month is recorded and the rest go on.
+
+    Returns month_start, status (skipped, loaded or failed) and error. All open months are tried in
+    one job; only when that fails is each tried alone, so one bad file costs no other month.
+    """
+    status: dict[date, tuple[str, str | None]] = {}
+    said = reports(spark, root)
+    tables = {
+        name: lake.read_table(spark, f"{warehouse}/{name}")
+        for name in ("trips", "trips_quarantine")
+        if fs.child_dirs(spark, f"{warehouse}/{name}")
+    }
+    if "trips" in tables:
+        done = lake.done_months(said, lake.partition_counts(tables), "trips", "trips_quarantine")
+        ready = {r.month_start for r in done.filter("done").collect()}  # one row per month
+        status = {m.first: ("skipped", None) for m in months if m.first in ready}
+    todo = [m for m in months if m.first not in status]
+
+    def attempt(part: list[Month]) -> None:
+        run_folder(spark, folder, root, part, processed_at=processed_at)
+        load_months(spark, root, warehouse, part)
+        status.update({m.first: ("loaded", None) for m in part})
+
+    if todo:
+        try:
+            attempt(todo)
+        except Exception:
+            for month in todo:
+                try:
+                    attempt([month])
+                except Exception as e:
+                    status[month.first] = ("failed", f"{type(e).__name__}: {str(e)[:300]}")
+    rows = [(m.first, *status[m.first]) for m in months]
+    return spark.createDataFrame(rows, "month_start date, status string, error string")
 
 
 def _reconcile(months, source, said, written) -> None:
@@ -178,7 +251,7 @@ def load_months(
     ):
         rows = curated(spark, root) if zone == "curated" else quarantine(spark, root)
         path = f"{warehouse}/{table}"
-        part = rows.filter(F.col("source_month").isin(firsts)).drop("year", "month")
+        part = rows.filter(in_directories(months)).drop("year", "month")
         lake.swap_partitions(part, path, ["source_month"], sort=CLUSTER[zone])
         for month in months:
             if said[month.first][column] == 0:

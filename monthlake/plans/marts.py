@@ -11,8 +11,9 @@ from monthlake.plans.joins import dimension
 from monthlake.plans.star import CARD
 from monthlake.sources import fs, lake
 
-# Miles are summed as decimals, so totals do not depend on the order of tasks.
-EXACT_MILES = "decimal(18,4)"
+# Miles are summed as decimals, so totals do not depend on the order of tasks. Twelve decimals hold
+# every digit a distance in miles is written with; nothing is rounded before the sum.
+EXACT_MILES = "decimal(38,12)"
 
 
 def _count():
@@ -77,7 +78,7 @@ def build_zone_flows(
     if built and month:
         rows = rows.filter(lake.within(F.col("source_month"), month.first, month.plus(1).first))
     elif built:
-        newest = lake.read_table(spark, path).agg(F.max("month_start").alias("m")).head().m
+        newest = lake.newest(spark, path, "month_start")
         if newest is not None:
             rows = rows.filter(F.col("source_month") >= F.lit(newest))
     lake.swap_partitions(

@@ -182,10 +182,9 @@ def build_fact(
     if month:
         rows = rows.filter(lake.within(key, month.first, month.plus(1).first))
     elif built:
-        newest = lake.read_table(spark, path).agg(F.max("pickup_partition_ts").alias("t")).head().t
+        newest = lake.newest(spark, path, "source_month")
         if newest is not None:
-            # The largest VALUE, cut to its month: uncut, it would keep only the month's last rows.
-            rows = rows.filter(key >= F.lit(newest.date().replace(day=1)))
+            rows = rows.filter(key >= F.lit(newest))
     fact = fact_trips(stage_trips(rows, min_month))
     if built:
         lake.guard_schema(spark, fact, path)

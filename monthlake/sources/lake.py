@@ -126,6 +126,13 @@ def expire_days(
     return gone
 
 
+def newest(spark: SparkSession, path: str, key: str) -> date | None:
+    """The largest value of a date partition, from directory names alone."""
+    found = [n.partition("=") for n in fs.child_dirs(spark, path)]
+    days = [v for k, _, v in found if k == key and v != "__HIVE_DEFAULT_PARTITION__"]
+    return max(map(date.fromisoformat, days), default=None)
+
+
 def within(column: Column, first: date, last: date) -> Column:
     """Half-open range on the bare partition column, so directories are pruned."""
     return (column >= F.lit(first)) & (column < F.lit(last))

@@ -66,7 +66,7 @@ def _describe(with_digest: bool):
                             {"name": f.name, "type": str(f.type)} for f in footer.schema_arrow
                         ]
                         rows.append((path, footer.metadata.num_rows, fields, digest))
-                    except (pa.ArrowInvalid, OSError):
+                    except pa.ArrowInvalid:  # not Parquet; an I/O error fails the task, and Spark retries
                         rows.append((path, None, None, digest))
             names = ("path", "rows", "columns", "sha256")
             yield pa.RecordBatch.from_pylist(
@@ -138,14 +138,17 @@ def read_months(
     *,
     processed_at: datetime | Column,
     contract: Contract = TRIPS,
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """Every month below `folder` in the contract's types, with the month taken from file names.
 
+    `files` (with a path column) narrows it to some of the folder's files.
+
     Types drift between files, so files are grouped by footer schema ("eras"): one scan and one
     projection per era, however many months it spans. No schema merging.
     """
     eras = (
-        footers(list_files(spark, folder))
+        footers(list_files(spark, folder) if files is None else files)
         .groupBy("columns")
         .agg(F.collect_list("path").alias("paths"))
         .collect()  # file names only, as the driver's own listing holds them

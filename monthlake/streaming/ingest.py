@@ -1,12 +1,15 @@
 """From the topic to the delivery table: one pass, every delivery kept, bad ones set aside.
 
-The sink is a partitioned Parquet table written by foreachBatch with the batch id as the last
-partition key. A batch that is run again after a failure overwrites its own directories, so the
-table holds every delivery once per delivery, no more.
+The sink is a partitioned Parquet table written by foreachBatch. Its last partition keys are the
+stream and the batch: a batch that is run again after a failure overwrites its own directories, and
+never those of another stream or of an earlier checkpoint. A stream's name is made once and kept in
+its checkpoint.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -41,9 +44,20 @@ def kafka_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     )
 
 
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The name kept in the checkpoint; a new one for a new or reset checkpoint."""
+    path = f"{checkpoint}/stream_name"
+    if not fs.exists(spark, f"{path}/_SUCCESS"):
+        made = spark.createDataFrame([(uuid.uuid4().hex,)], "name string")
+        made.coalesce(1).write.mode("overwrite").text(path)
+    return spark.read.text(path).head().value
+
+
 def start_ingest(deliveries: DataFrame, table: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Split by contract into table/outcome=delivered and table/outcome=refused."""
 
+    stream = stream_name(deliveries.sparkSession, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         judged = decode(batch).withColumns(
             {
@@ -51,6 +65,7 @@ def start_ingest(deliveries: DataFrame, table: str, checkpoint: str, **trigger)
                     "refused"
                 ),
                 "publish_date": F.to_date("publish_time"),
+                "stream": F.lit(stream),
                 "batch_id": F.lit(batch_id),
             }
         )
@@ -58,7 +73,7 @@ def start_ingest(deliveries: DataFrame, table: str, checkpoint: str, **trigger)
             judged.sortWithinPartitions("outcome", "publish_date", "pu_location_id")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("outcome", "publish_date", "batch_id")
+            .partitionBy("outcome", "publish_date", "stream", "batch_id")
             .parquet(table)
         )
 
@@ -72,6 +87,9 @@ def start_ingest(deliveries: DataFrame, table: str, checkpoint: str, **trigger)
 
 def delivered(spark: SparkSession, table: str) -> DataFrame:
     """Every delivery that fits the contract, repeats included, with its publish_date."""
+    if not fs.exists(spark, f"{table}/outcome=delivered"):
+        nothing = decode(spark.createDataFrame([], ENVELOPE)).select(*DELIVERED)
+        return nothing.withColumn("publish_date", F.to_date("publish_time"))
     return spark.read.parquet(f"{table}/outcome=delivered").select(*DELIVERED, "publish_date")
 
 

@@ -9,31 +9,30 @@ from monthlake.functions.columns import computed_once
 
 # Event fields in order, wire type, required or nullable. A nullable value is wrapped
 # in an object that names its branch; a required one is plain.
-EVENT_FIELDS_TEXT = """
-event_id               string  required
-event_ts               long    required
-vendor_id              long    required
-pickup_datetime        string  required
-dropoff_datetime       string  required
-passenger_count        long    nullable
-trip_distance          double  required
-ratecode_id            long    nullable
-store_and_fwd_flag     string  nullable
-pu_location_id         long    required
-do_location_id         long    required
-payment_type           long    required
-fare_amount            string  required
-extra                  string  required
-mta_tax                string  required
-tip_amount             string  required
-tolls_amount           string  required
-improvement_surcharge  string  required
-total_amount           string  required
-congestion_surcharge   string  nullable
-airport_fee            string  nullable
-cbd_congestion_fee     string  nullable
-"""
-FIELDS = [tuple(line.split()) for line in EVENT_FIELDS_TEXT.strip().splitlines()]
+FIELDS = [
+    ("event_id", "string", "required"),
+    ("event_ts", "long", "required"),
+    ("vendor_id", "long", "required"),
+    ("pickup_datetime", "string", "required"),
+    ("dropoff_datetime", "string", "required"),
+    ("passenger_count", "long", "nullable"),
+    ("trip_distance", "double", "required"),
+    ("ratecode_id", "long", "nullable"),
+    ("store_and_fwd_flag", "string", "nullable"),
+    ("pu_location_id", "long", "required"),
+    ("do_location_id", "long", "required"),
+    ("payment_type", "long", "required"),
+    ("fare_amount", "string", "required"),
+    ("extra", "string", "required"),
+    ("mta_tax", "string", "required"),
+    ("tip_amount", "string", "required"),
+    ("tolls_amount", "string", "required"),
+    ("improvement_surcharge", "string", "required"),
+    ("total_amount", "string", "required"),
+    ("congestion_surcharge", "string", "nullable"),
+    ("airport_fee", "string", "nullable"),
+    ("cbd_congestion_fee", "string", "nullable"),
+]
 REQUIRED_FIELDS = [n for n, _, need in FIELDS if need == "required"]
 MONEY_FIELDS = [n for n, _, _ in FIELDS if n.endswith(("_amount", "_fee", "_surcharge", "_tax")) or n == "extra"]
 WALL_CLOCK_FIELDS = ("pickup_datetime", "dropoff_datetime")

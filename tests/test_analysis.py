@@ -4,7 +4,7 @@ from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
-from trips import T0, refund, trip, typed
+from trips import START, refund, trip, typed
 
 from monthlake.operators import checks, profile
 from monthlake.plans import marts, reports, star
@@ -17,9 +17,9 @@ def fact(spark, tmp_path_factory):
     rows = [
         trip(VendorID=1, PULocationID=132, DOLocationID=138),
         trip(VendorID=2, PULocationID=10, DOLocationID=138, passenger_count=None, payment_type=2),
-        trip(VendorID=3, PULocationID=10, DOLocationID=20, trip_distance=0.0, tpep_dropoff_datetime=T0, payment_type=2),
-        trip(VendorID=4, PULocationID=264, DOLocationID=20, tpep_pickup_datetime=T0 + timedelta(days=1),
-             tpep_dropoff_datetime=T0 + timedelta(days=1, hours=1), payment_type=2, tip_amount=0.0),
+        trip(VendorID=3, PULocationID=10, DOLocationID=20, trip_distance=0.0, tpep_dropoff_datetime=START, payment_type=2),
+        trip(VendorID=4, PULocationID=264, DOLocationID=20, tpep_pickup_datetime=START + timedelta(days=1),
+             tpep_dropoff_datetime=START + timedelta(days=1, hours=1), payment_type=2, tip_amount=0.0),
     ]
     judged = classify(typed(spark, rows, tmp_path_factory.mktemp("fact")), policy=None)
     return star.fact_trips(star.stage_trips(judged.filter("reject_reason is null"))).cache()
@@ -33,15 +33,15 @@ def zones(spark):
 
 def test_daily_and_hourly(fact):
     daily = {str(r.pickup_date): r for r in marts.daily_metrics(fact).collect()}
-    first = daily["2019-01-15"]
+    first = daily["2021-05-11"]
     assert (first.trips, first.flagged_trips, first.trips_with_recorded_passengers) == (3, 1, 2)
-    assert first.avg_passengers_per_recorded_trip == 1.0
+    assert first.avg_passengers_per_recorded_trip == 2.0
     assert first.card_tip_rate == pytest.approx(0.2)
-    assert daily["2019-01-16"].card_tip_rate is None  # no card fares that day
+    assert daily["2021-05-12"].card_tip_rate is None  # no card fares that day
     hourly = {(str(r.pickup_date), r.pickup_hour): r for r in marts.hourly_demand(fact).collect()}
-    assert hourly["2019-01-15", 8].avg_speed_mph == pytest.approx(6.4 / (2400 / 3600))
+    assert hourly["2021-05-11", 14].avg_speed_mph == pytest.approx(4.8 / (1800 / 3600))
     yearly = reports.yearly_summary(marts.daily_metrics(fact)).collect()
-    assert [(r.year, r.trips) for r in yearly] == [(2019, 4)]
+    assert [(r.year, r.trips) for r in yearly] == [(2021, 4)]
     assert checks.mart_reconciles(marts.daily_metrics(fact), fact).count() == 0
     assert checks.mart_reconciles(marts.daily_metrics(fact).limit(1), fact).count() == 1
 
@@ -82,7 +82,7 @@ def test_dimension_checks_its_size(spark):
 
 def test_empty_fact_has_a_null_mark(fact):
     assert star.high_water_mark(fact.limit(0)).collect()[0].batch_high_water is None
-    assert star.high_water_mark(fact).collect()[0].batch_high_water == T0 + timedelta(days=1)
+    assert star.high_water_mark(fact).collect()[0].batch_high_water == START + timedelta(days=1)
 
 
 def test_checks(spark):
@@ -100,7 +100,7 @@ def test_twins_match_a_list_of_pairs(spark, tmp_path):
     for _ in range(120):
         row = trip(
             VendorID=rnd.choice([1, 1, 2, None]), tip_amount=float(rnd.randint(0, 1)),
-            congestion_surcharge=rnd.choice([2.5, None]), payment_type=rnd.randint(1, 2),
+            congestion_surcharge=rnd.choice([2.75, None]), payment_type=rnd.randint(1, 2),
         )
         if rnd.random() < 0.5:
             row = {**row, **{m: -v if v else v for m, v in ((m, row[m]) for m in ("fare_amount", "extra", "mta_tax", "tip_amount", "improvement_surcharge", "total_amount", "congestion_surcharge"))}}
@@ -145,18 +145,18 @@ def test_quantiles_within_rank_error(spark, tmp_path):
         low, high = bisect_left(values, got) / len(values), bisect_right(values, got) / len(values)
         assert low - 0.001 <= p <= high + 0.001
     speeds = profile.speed_quantiles(trips).collect()[0].mph_p50_p99_p999
-    exact = sorted(v * 3 for v in values)
+    exact = sorted(v * 4 for v in values)
     for p, got in zip((0.5, 0.99, 0.999), speeds, strict=True):
         near = bisect_left(exact, got - 1e-9) / len(exact), bisect_right(exact, got + 1e-9) / len(exact)
         assert near[0] - 0.001 <= p <= near[1] + 0.001
 
 
 def test_medians_and_odd_negatives(spark, tmp_path):
-    rows = [trip(VendorID=i, trip_distance=float(40 + i)) for i in range(5)]  # 120 mph and more
-    rows += [trip(VendorID=9), refund(trip(VendorID=9), total_amount=0.0)]
+    rows = [trip(VendorID=i, trip_distance=float(40 + i)) for i in range(5)]  # 160 mph and more
+    rows += [trip(VendorID=9), refund(trip(VendorID=9), total_amount=0.0, payment_type=4)]
     trips = typed(spark, rows, tmp_path)
     got = profile.fast_medians(trips).collect()[0]
-    assert (got.median_miles, got.median_secs) == (42.0, 1200)
+    assert (got.median_miles, got.median_secs) == (42.0, 900)
     odd = profile.inconsistent_negatives(trips).collect()
     assert [(r.payment_type, r.total_zero, r.total_positive) for r in odd] == [(4, 1, 0)]
     assert profile.inconsistent_sample(trips).count() == 1
@@ -164,10 +164,10 @@ def test_medians_and_odd_negatives(spark, tmp_path):
 
 def test_profile_counts(spark, tmp_path):
     rows = [trip(), trip(passenger_count=None, RatecodeID=None, store_and_fwd_flag=None),
-            trip(fare_amount=1.005, PULocationID=0, tpep_pickup_datetime=datetime(2019, 2, 1), tpep_dropoff_datetime=datetime(2019, 2, 1))]
+            trip(fare_amount=1.005, PULocationID=0, tpep_pickup_datetime=datetime(2021, 6, 1), tpep_dropoff_datetime=datetime(2021, 6, 1))]
     got = profile.profile(typed(spark, rows, tmp_path)).collect()[0]
     assert (got.trips, got.pax_null, got.meter_fields_null) == (3, 1, 1)
     assert (got.pickup_after_month, got.loc_invalid, got.dur_zero) == (1, 1, 1)
-    assert got.source_month == date(2019, 1, 1)
+    assert got.source_month == date(2021, 5, 1)
     raw_money = typed(spark, rows, tmp_path).withColumn("fare_amount", F.lit(1.005))
     assert profile.profile(raw_money).collect()[0].money_more_than_2dp == 3

@@ -20,14 +20,14 @@ def wire(spark, tmp_path, rows, name="w"):
 
 
 def test_wire_form(spark, tmp_path):
-    row = wire(spark, tmp_path, [trip(passenger_count=None, fare_amount=0.1 + 0.2)]).collect()[0]
+    row = wire(spark, tmp_path, [trip(passenger_count=None, extra=1.1 + 2.2)]).collect()[0]
     event = json.loads(row.data)
-    assert event["pickup_datetime"] == "2019-01-15 08:00:00"
+    assert event["pickup_datetime"] == "2021-05-11 14:30:00"
     assert event["passenger_count"] is None
     assert event["ratecode_id"] == {"long": 1}
     assert event["store_and_fwd_flag"] == {"string": "N"}
-    assert event["fare_amount"] == "0.30"
-    assert event["congestion_surcharge"] == {"string": "2.50"}
+    assert event["extra"] == "3.30"
+    assert event["congestion_surcharge"] == {"string": "2.75"}
     assert event["cbd_congestion_fee"] is None
     assert event["event_ts"] == 1718388000000000
     assert list(event)[:3] == ["event_id", "event_ts", "vendor_id"]
@@ -52,8 +52,8 @@ def test_round_trip_and_contract(spark, tmp_path):
     )
     got = {r.message_id: r for r in decode(frame).collect()}
     assert got["good"].contract_error is None
-    assert got["good"].fare_amount == Decimal("15.00")
-    assert got["good"].pickup_datetime == datetime(2019, 1, 15, 8)
+    assert got["good"].fare_amount == Decimal("12.50")
+    assert got["good"].pickup_datetime == datetime(2021, 5, 11, 14, 30)
     assert got["missing"].contract_error == "missing: fare_amount"
     assert got["null"].contract_error == "missing: vendor_id"
     assert got["money"].contract_error == "unreadable: fare_amount"
@@ -82,12 +82,28 @@ def test_ingest_keeps_every_delivery_once(spark, tmp_path):
 
 
 def test_replayed_batch_overwrites_itself(spark, tmp_path):
-    """A batch that failed after writing runs again under its id."""
-    inbox, table = str(tmp_path / "inbox"), str(tmp_path / "table")
+    """A batch that failed before its commit runs again and replaces its own rows only."""
+    inbox, table, state = (str(tmp_path / p) for p in ("inbox", "table", "s1"))
     wire(spark, tmp_path, [trip()], "a").write.json(inbox)
-    for state in ("s1", "s2"):  # two checkpoints: both start at batch 0
-        ingest.start_ingest(ingest.json_source(spark, inbox), table, str(tmp_path / state)).awaitTermination()
+
+    def go(checkpoint):
+        ingest.start_ingest(ingest.json_source(spark, inbox), table, checkpoint).awaitTermination()
+
+    go(state)
+    for mark in (tmp_path / "s1" / "commits").iterdir():  # the commit is lost: batch 0 runs again
+        mark.unlink()
+    go(state)
     assert ingest.delivered(spark, table).count() == 1
+    go(str(tmp_path / "s2"))  # another stream on the same table: its rows are added
+    assert ingest.delivered(spark, table).count() == 2
+
+
+def test_only_refused(spark, tmp_path):
+    inbox, table = str(tmp_path / "inbox"), str(tmp_path / "table")
+    wire(spark, tmp_path, [trip()]).withColumn("data", F.lit("junk")).write.json(inbox)
+    ingest.start_ingest(ingest.json_source(spark, inbox), table, str(tmp_path / "s")).awaitTermination()
+    assert ingest.delivered(spark, table).count() == 0
+    assert ingest.refused(spark, table).count() == 1
 
 
 def deliveries(spark, tmp_path, rows, times, name="d"):
@@ -128,16 +144,16 @@ def test_live_views(spark, tmp_path):
 
 
 def test_unified_serves_strictly_after_the_mark(spark, tmp_path):
-    rows = [trip(), trip(PULocationID=3, tpep_pickup_datetime=datetime(2019, 1, 15, 8, 0, 1))]
+    rows = [trip(), trip(PULocationID=3, tpep_pickup_datetime=datetime(2021, 5, 11, 14, 30, 1))]
     live = views.fact_live(views.judged_events(deliveries(spark, tmp_path, rows, ["18:00:00", "18:00:01"])))
-    fact = live.filter("pu_location_id = 161")
+    fact = live.filter("pu_location_id = 75")
 
     def served(mark):
         frame = spark.createDataFrame([(mark,)], "batch_high_water timestamp_ntz")
         return sorted((r.pu_location_id, r.served_from) for r in views.fact_unified(fact, live, frame).collect())
 
-    assert served(datetime(2019, 1, 15, 8)) == [(3, "stream"), (161, "batch")]
-    assert served(None) == [(161, "batch")]
+    assert served(datetime(2021, 5, 11, 14, 30)) == [(3, "stream"), (75, "batch")]
+    assert served(None) == [(75, "batch")]
 
 
 def test_bounded_state_variants(spark, tmp_path):
