@@ -314,7 +314,8 @@ fct as (
   from stg)"""
 
 
-_MILES = "fsum(cast(trip_distance_miles as double))"  # compensated sum of the plain doubles
+# The digits a distance is written with, summed exactly; twelve decimals round none of them.
+_MILES = "sum(cast(cast(trip_distance_miles as varchar) as decimal(38,12)))::double"
 _SPEED = f"{_MILES} / nullif(sum(trip_duration_seconds)::double / 3600, 0)"
 
 
@@ -432,3 +433,4 @@ JUDGED_SQL = TRIPS_SQL + "," + _duck_judged()
 FACT_SQL = JUDGED_SQL + "," + _duck_fact()
 MARTS_SQL = FACT_SQL + "," + _duck_marts()
 STREAM_SQL = FACT_SQL + "," + _duck_stream()
+EVERY_SQL = MARTS_SQL + "," + _duck_stream()

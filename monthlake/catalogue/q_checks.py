@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from monthlake.catalogue import fixture as fx
-from monthlake.catalogue.fixture import FACT_SQL, MARTS_SQL, TRIPS_SQL
+from monthlake.catalogue.fixture import EVERY_SQL, FACT_SQL, MARTS_SQL, TRIPS_SQL
 from monthlake.catalogue.registry import query, text
 from monthlake.functions.contract import TRIPS
 from monthlake.operators import checks
-from monthlake.plans import marts, star
+from monthlake.plans import marts, reports, star, suite
+from monthlake.session import shared_folder
+from monthlake.streaming import views
 
 
 def _table(spark, sf, name):
@@ -65,6 +67,16 @@ def vendor_accepted(spark, sf):
     return checks.accepted_values(fx.fact(spark, sf), "vendor_id", current)
 
 
+@query(
+    "j04w_relationships",
+    """select l_partkey, count(*) as rows from lineitem
+    where l_partkey is not null and l_partkey not in (select p_partkey from part) group by 1""",
+)
+def whole_relationships(spark, sf):
+    """Whole tables: every part of a line exists."""
+    return checks.relationships(_table(spark, sf, "lineitem"), "l_partkey", _table(spark, sf, "part"), "p_partkey")
+
+
 @query(
     "j04_relationships",
     """select l_partkey, count(*) as rows from lineitem
@@ -191,3 +203,77 @@ def summary(spark, sf):
         F.struct(F.lit(f"fct {c} not_null").alias("test"), F.col(c).alias("violations")) for c in columns
     ]
     return nulls.select(F.explode(F.array(*entries)).alias("t")).select("t.*")
+
+
+def _saved(spark, df, name):
+    """Written once: many tests read it."""
+    path = shared_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _suite_sql() -> str:
+    """Each declared test as its own subquery over its own table."""
+    seeds = {"vendor": star.VENDORS, "ratecode": star.RATE_CODES, "payment": star.PAYMENT_TYPES}
+    ids = {k: ", ".join(f"({v[0]})" for v in rows) for k, rows in seeds.items()}
+    tables = {
+        "staging": "stg", "fact": "fct", "dim_vendor": "vendor", "dim_ratecode": "ratecode", "dim_payment_type": "payment",
+        "events": "events_judged", "mark": "mark", "daily_overview": "daily", "hourly_profile": "hourly",
+        "zone_flows_named": "named", "borough_flows": "named", "airport_monthly": "airport", "seed_zones": "dim_zone",
+        "seed_vendors": "vendor", "seed_rate_codes": "ratecode", "seed_payment_types": "payment",
+    }
+    at = lambda t: tables.get(t, t)
+    rows = []
+    for t, columns in suite.NOT_NULL.items():
+        rows += [(t, c, "not_null", f"from {at(t)} where {c} is null") for c in columns]
+    for (t, c), values in suite.ACCEPTED.items():
+        rows.append((t, c, "accepted_values", f"from {at(t)} where {c} not in ({', '.join(map(repr, values))})"))
+    for t, c in suite.UNIQUE.items():
+        rows.append((t, c, "unique", f"from (select {c} from {at(t)} where {c} is not null group by 1 having count(*) > 1)"))
+    for (t, c), (p, k) in suite.PARENTS.items():
+        rows.append((t, c, "relationships", f"from (select distinct {c} from {at(t)} where {c} not in (select {k} from {at(p)}))"))
+    single = {
+        "mart_reconciles": "from (select sum(trips) as n from daily) a cross join (select count(*) as n from fct) b where a.n != b.n",
+        "dropoff_not_before_pickup": "from stg where dropoff_datetime < pickup_datetime",
+        "fact_matches_staging": "from (select count(*) as n from fct) a cross join (select count(*) as n from stg) b where a.n != b.n",
+        "recorded_within_total": "from daily where trips_with_recorded_passengers > trips",
+    }
+    tests = [f"select '{t}' as table_name, '{c}' as column_name, '{k}' as test, count(*) as violations {q}" for t, c, k, q in rows]
+    tests += [f"select 'all', null, '{k}', count(*) {q}" for k, q in single.items()]
+    return f"""{EVERY_SQL}, vendor as (select * from (values {ids['vendor']}) t(vendor_id)),
+      ratecode as (select * from (values {ids['ratecode']}) t(ratecode_id)),
+      payment as (select * from (values {ids['payment']}) t(payment_type)),
+      mark as (select max(pickup_datetime) as batch_high_water from fct)
+    {' union all '.join(tests)}"""
+
+
+@query("j11_suite", _suite_sql())
+def whole_suite(spark, sf):
+    """The 71 declared tests of all tables."""
+    staging = _saved(spark, star.stage_trips(fx.curated_trips(spark, sf)), "staging")
+    fact = _saved(spark, star.fact_trips(staging), "fact")
+    events = _saved(spark, views.judged_events(fx.deliveries(spark, sf)), "events")
+    zones, days = fx.zones(spark, sf), fx.days(spark)
+    seeds = {
+        "seed_zones": zones,
+        "seed_vendors": star.seed(spark, star.VENDORS, star.VENDOR_SCHEMA),
+        "seed_rate_codes": star.seed(spark, star.RATE_CODES, star.RATE_SCHEMA),
+        "seed_payment_types": star.seed(spark, star.PAYMENT_TYPES, star.PAYMENT_SCHEMA),
+    }
+    dims = {
+        "dim_zone": star.dim_zone(zones), "dim_date": days, "dim_vendor": star.dim_vendor(seeds["seed_vendors"]),
+        "dim_ratecode": star.dim_ratecode(seeds["seed_rate_codes"]),
+        "dim_payment_type": star.dim_payment_type(seeds["seed_payment_types"]),
+    }
+    daily = _saved(spark, marts.daily_metrics(fact), "daily")
+    hourly, flows = marts.hourly_demand(fact), marts.zone_flows(fact)
+    airport = marts.airport_trips(fact, dims["dim_zone"])
+    named = reports.zone_flows_named(flows, dims["dim_zone"])
+    tables = {
+        "staging": staging, "fact": fact, "events": events, "live": views.fact_live(events),
+        "mark": star.high_water_mark(fact), "daily": daily, "hourly": hourly, "flows": flows, "airport": airport,
+        "daily_overview": reports.daily_overview(daily, days), "hourly_profile": reports.hourly_profile(hourly, days),
+        "zone_flows_named": named, "borough_flows": reports.borough_flows(named),
+        "airport_monthly": reports.airport_monthly(airport),
+    }
+    return suite.run_suite(tables | dims | seeds)

@@ -23,38 +23,25 @@ def _n(condition: str, name: str) -> str:
 
 
 PROFILE_SQL = f"""{RAW} select {text('source_month')}, count(*) as trips, {', '.join([
-    _n('passenger_count is null', 'pax_null'),
-    _n('passenger_count is null and ratecode_id is null and store_and_fwd_flag is null', 'meter_fields_null'),
-    _n('passenger_count = 0', 'pax_zero'),
-    _n('passenger_count > 6', 'pax_gt6'),
-    '0::bigint as pax_fractional',
-    _n('airport_fee is null', 'airport_fee_null'),
-    _n('congestion_surcharge is null', 'congestion_null'),
-    _n('pickup_datetime is null or dropoff_datetime is null', 'ts_null'),
-    _n('pickup_datetime < source_month', 'pickup_before_month'),
-    _n('pickup_datetime >= source_month + interval 1 month', 'pickup_after_month'),
-    _n('minutes < 0', 'dur_negative'),
-    _n('minutes = 0', 'dur_zero'),
-    _n('minutes > 180', 'dur_gt_3h'),
-    _n('minutes > 360', 'dur_gt_6h'),
-    _n('minutes > 1440', 'dur_gt_24h'),
-    _n('trip_distance < 0', 'dist_negative'),
-    _n('trip_distance = 0', 'dist_zero'),
-    _n('trip_distance > 100', 'dist_gt_100'),
-    _n('trip_distance > 500', 'dist_gt_500'),
-    _n('fare_amount < 0', 'fare_negative'),
-    _n('total_amount < 0', 'total_negative'),
-    _n(' or '.join(f'coalesce({m} < 0, false)' for m in pf.MONEY), 'any_money_negative'),
-    _n('total_amount > 1000', 'total_gt_1000'),
-    _n('total_amount > 10000', 'total_gt_10000'),
-    '0::bigint as money_more_than_2dp',
-    _n('pu_location_id not between 1 and 265 or do_location_id not between 1 and 265', 'loc_invalid'),
+    _n('passenger_count = 0', 'passenger_count_at_0'), _n('passenger_count > 6', 'passenger_count_over_6'),
+    _n('minutes < 0', 'minutes_below_0'), _n('minutes = 0', 'minutes_at_0'),
+    *[_n(f'minutes > {m}', f'minutes_over_{m}') for m in (180, 360, 1440)],
+    _n('trip_distance < 0', 'trip_distance_below_0'), _n('trip_distance = 0', 'trip_distance_at_0'),
+    *[_n(f'trip_distance > {m}', f'trip_distance_over_{m}') for m in (100, 500)],
+    _n('fare_amount < 0', 'fare_amount_below_0'), _n('total_amount < 0', 'total_amount_below_0'),
+    *[_n(f'total_amount > {m}', f'total_amount_over_{m}') for m in (1000, 10000)],
+    *[_n(f'{c} is null', f'{c}_unknown') for c in ('passenger_count', 'airport_fee', 'congestion_surcharge')],
+    _n('coalesce(passenger_count::varchar, ratecode_id::varchar, store_and_fwd_flag) is null', 'meter_unknown'),
+    _n('pickup_datetime is null or dropoff_datetime is null', 'clock_unknown'),
+    '0::bigint as passenger_count_broken', '0::bigint as amount_below_cents',
+    _n('pickup_datetime < source_month', 'before_month'),
+    _n('pickup_datetime >= source_month + interval 1 month', 'after_month'),
+    _n('not coalesce(pu_location_id between 1 and 265 and do_location_id between 1 and 265, false)', 'zone_outside'),
+    _n(' or '.join(f'coalesce({m} < 0, false)' for m in pf.MONEY), 'amount_below_0'),
 ])},
-  cast(min(pickup_datetime) as varchar) as min_pickup,
-  cast(max(pickup_datetime) as varchar) as max_pickup,
-  max(minutes) as dur_max_min, max(trip_distance) as dist_max,
-  cast(max(total_amount) as double) as total_max,
-  cast(max(greatest({', '.join(f'abs({m})' for m in pf.MONEY)})) as double) as max_abs_any_money
+  cast(min(pickup_datetime) as varchar) as first_pickup, cast(max(pickup_datetime) as varchar) as last_pickup,
+  max(minutes) as most_minutes, max(trip_distance) as most_miles, cast(max(total_amount) as double) as most_total,
+  cast(max(greatest({', '.join(f'abs({m})' for m in pf.MONEY)})) as double) as most_amount
 from (select *, {MINUTES} as minutes from unfilled) group by source_month"""
 
 
@@ -236,13 +223,10 @@ SPEED = f"""{RAW}, plausible as (
 @query(
     "k09_speed",
     f"""{SPEED} select count(*) as trips, {', '.join([
-        _n('secs = 0 and trip_distance > 0', 'zero_dur_pos_dist'),
-        _n('secs = 0 and trip_distance >= 1', 'zero_dur_dist_ge_1mi'),
-        _n('secs = 0 and trip_distance = 0', 'zero_dur_zero_dist'),
-        _n('trip_distance = 0', 'zero_distance'),
-        _n('secs > 10800', 'over_3h'),
-        *[_n(f'mph > {m}', f'mph_gt_{m}') for m in (60, 80, 100, 200)],
-        _n('mph > 100 and trip_distance >= 1', 'mph_gt_100_dist_ge_1mi'),
+        _n('secs = 0 and trip_distance > 0', 'jumps'), _n('secs = 0 and trip_distance >= 1', 'jumps_far'),
+        _n('secs = 0 and trip_distance = 0', 'stands'), _n('trip_distance = 0', 'no_distance'),
+        _n('secs > 10800', 'long'), _n('mph > 100 and trip_distance >= 1', 'fast_far'),
+        *[_n(f'mph > {m}', f'mph_over_{m}') for m in (60, 80, 100, 200)],
     ])} from plausible""",
 )
 def speed(spark, sf):

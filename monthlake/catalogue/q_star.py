@@ -207,4 +207,7 @@ def newest_month(spark, sf):
     f"{FACT_SQL} select cast(max(pickup_datetime) as varchar) as batch_high_water from fct",
 )
 def high_water(spark, sf):
-    return star.high_water_mark(fx.fact(spark, sf))
+    """The mark as the fact build stores it."""
+    path = shared_folder(spark, "fact")
+    star.build_fact(spark, lake.read_table(spark, _curated_table(spark, sf)), path)
+    return star.stored_mark(spark, path)

@@ -49,6 +49,7 @@ RATE_SCHEMA = "ratecode_id bigint, rate_code_name string"
 PAYMENT_SCHEMA = "payment_type bigint, payment_type_name string"
 ZONE_SCHEMA = "location_id bigint, borough string, zone_name string, service_zone string"
 
+# Output names of the fact, in order.
 FACT_COLUMNS = (
     "trip_id", "pickup_partition_ts", "pickup_datetime", "dropoff_datetime", "pickup_date",
     "pickup_hour", "trip_duration_seconds", "vendor_id", "ratecode_id", "payment_type",
@@ -159,6 +160,24 @@ def high_water_mark(fact: DataFrame) -> DataFrame:
     return fact.agg(F.max("pickup_datetime").alias("batch_high_water"))
 
 
+def mark_path(fact_path: str) -> str:
+    return f"{fact_path.rstrip('/')}_high_water_mark"
+
+
+def stored_mark(spark: SparkSession, fact_path: str) -> DataFrame:
+    """The mark written with the last fact build; serving reads this one row and not the fact."""
+    return spark.read.parquet(mark_path(fact_path))
+
+
+def _store_mark(spark: SparkSession, path: str) -> None:
+    """From the newest partition alone: a fact's source month is its pickup month."""
+    rows = lake.read_table(spark, path)
+    newest = lake.newest(spark, path, "source_month")
+    if newest is not None:
+        rows = rows.filter(F.col("source_month") == F.lit(newest))
+    high_water_mark(rows).coalesce(1).write.mode("overwrite").parquet(mark_path(path))
+
+
 # ---------------------------------------------------------------- incremental build
 
 
@@ -195,3 +214,7 @@ def build_fact(
         sort=["pu_location_id", "do_location_id"],
         full_refresh=not built,
     )
+    if fs.child_dirs(spark, path):
+        _store_mark(spark, path)
+    else:  # no partition: an empty fact, whose mark is NULL
+        high_water_mark(fact.limit(0)).write.mode("overwrite").parquet(mark_path(path))

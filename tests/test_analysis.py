@@ -166,8 +166,8 @@ def test_profile_counts(spark, tmp_path):
     rows = [trip(), trip(passenger_count=None, RatecodeID=None, store_and_fwd_flag=None),
             trip(fare_amount=1.005, PULocationID=0, tpep_pickup_datetime=datetime(2021, 6, 1), tpep_dropoff_datetime=datetime(2021, 6, 1))]
     got = profile.profile(typed(spark, rows, tmp_path)).collect()[0]
-    assert (got.trips, got.pax_null, got.meter_fields_null) == (3, 1, 1)
-    assert (got.pickup_after_month, got.loc_invalid, got.dur_zero) == (1, 1, 1)
+    assert (got.trips, got.passenger_count_unknown, got.meter_unknown) == (3, 1, 1)
+    assert (got.after_month, got.zone_outside, got.minutes_at_0) == (1, 1, 1)
     assert got.source_month == date(2021, 5, 1)
     raw_money = typed(spark, rows, tmp_path).withColumn("fare_amount", F.lit(1.005))
-    assert profile.profile(raw_money).collect()[0].money_more_than_2dp == 3
+    assert profile.profile(raw_money).collect()[0].amount_below_cents == 3
