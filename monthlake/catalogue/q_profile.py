@@ -166,12 +166,7 @@ def twins(spark, sf):
 
 
 def _twins(spark, sf):
-    trips = typed_trips(spark, sf)
-    out = None
-    for label in pf.TWIN_KEYS:
-        one = pf.twin_summary(trips, label)
-        out = one if out is None else out.unionByName(one)
-    return out
+    return pf.twin_summaries(typed_trips(spark, sf))
 
 
 @query(
