@@ -8,9 +8,9 @@ Survivors are verified on their full sets, so no wrong link remains.
 
 Groups of copies: in each bucket of a band, documents are first compared with the smallest id only
 (a row per member). Only buckets whose members are then still in different components go on: small
-ones as pairs across components; large ones in tiles of bounded size, which return a spanning
-forest. So a bucket of n near copies costs n rows, no bucket is skipped, and none is held in one
-task. Misses: a pair at the threshold agrees in no band with chance (1 - 0.8^4)^32 = 5e-8, and is
+ones as pairs across components; in large ones the members outside the main component meet all
+others in tiles of bounded size, which return a spanning forest. So a bucket of n near copies costs
+about n rows, no bucket is skipped, and none is held in one task. Misses: a pair at the threshold agrees in no band with chance (1 - 0.8^4)^32 = 5e-8, and is
 dropped by a batch with chance of about 1e-4 at most.
 
 Defined cases: null text, or text without words, has no shingles and links with nothing; a row with
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthlake.llm import text as tx
-from monthlake.llm.components import components, local_forest
+from monthlake.llm.components import components
 from monthlake.llm.packing import _chunks
 from monthlake.plans.joins import dimension
 from monthlake.session import shared_folder
@@ -220,27 +220,53 @@ def _checked(docs, pairs: DataFrame, sigs: DataFrame, k: int, share: int) -> Dat
 
 
 def _tiled_links(docs, residual: DataFrame, sigs: DataFrame, k: int, share: int) -> DataFrame:
-    """Spanning links of large buckets: every pair of tiles of a bucket is one bounded group."""
+    """Links across components in large buckets, in groups of bounded size.
+
+    Most members of a bucket are in its main component and need no comparison with each other. So
+    main members are dealt to tiles once for each tile of outsiders (mostly one), and only outsiders
+    meet every tile.
+    """
     ids = _saved(residual.select("doc_id").distinct(), "ids")
     sets = _saved(full_sets(docs, ids, k), "sets")
-    tiles = F.ceil(F.col("size") / TILE)
-    own = residual.withColumn("tile", F.expr(f"pmod(xxhash64(doc_id), ceil(size / {TILE}))"))
-    # Tile t meets every tile: as the smaller or the larger one of a pair.
-    met = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
-    placed = met.select(
-        "bucket", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "doc_id", "component"
+    outside = F.col("component") != F.col("main")
+    main_tiles = F.greatest(F.ceil((F.col("size") - F.col("outsiders")) / TILE), F.lit(1))
+    out_tiles = F.ceil(F.col("outsiders") / TILE)
+    spread = F.xxhash64("doc_id")
+    own = F.when(outside, F.pmod(spread, out_tiles)).otherwise(F.pmod(spread, main_tiles)).cast("long")
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
+    with_main = F.transform(
+        F.when(outside, upto(main_tiles)).otherwise(upto(out_tiles)),
+        lambda t: F.struct(
+            F.lit(True).alias("across"),
+            F.when(outside, t).otherwise(F.col("tile")).alias("x"),
+            F.when(outside, F.col("tile")).otherwise(t).alias("y"),
+        ),
+    )
+    among = F.transform(
+        F.when(outside, upto(out_tiles)).otherwise(F.array().cast("array<long>")),
+        lambda t: F.struct(
+            F.lit(False).alias("across"), F.least(t, "tile").alias("x"), F.greatest(t, "tile").alias("y")
+        ),
+    )
+    placed = (
+        residual.withColumn("outside", outside)
+        .withColumn("tile", own)
+        .withColumn("at", F.explode(F.concat(with_main, among)))
+        .select("bucket", "at.across", "at.x", "at.y", "doc_id", "component", "outside")
     )
     body = placed.join(sigs, "doc_id").join(sets, "doc_id")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("doc_id", kind="stable")
+        frame = frame.sort_values(["outside", "doc_id"], ascending=[False, True], kind="stable")
         ids, comp = frame["doc_id"].to_numpy(), pd.factorize(frame["component"])[0]
         sig, sets = _sigs(frame["sig"]), [np.frombuffer(s, np.uint64) for s in frame["shingles"]]
+        outsiders, across = int(frame["outside"].sum()), bool(frame["across"].iloc[0])
         a, b = [], []
-        for i in range(len(ids) - 1):
+        for i in range(outsiders):
+            first = outsiders if across else i + 1
             # Once joined here, two documents need no further comparison.
-            j = i + 1 + np.flatnonzero(comp[i + 1 :] != comp[i])
+            j = first + np.flatnonzero(comp[first:] != comp[i])
             j = j[plausible(np.broadcast_to(sig[i], (len(j), HASHES)), sig[j], share)]
             for m in j:
                 if comp[m] != comp[i] and similar(sets[i], sets[m], share):
@@ -248,9 +274,8 @@ def _tiled_links(docs, residual: DataFrame, sigs: DataFrame, k: int, share: int)
                     comp[comp == comp[m]] = comp[i]
         return pd.DataFrame({"a": a, "b": b})
 
-    return _saved(
-        body.groupBy("bucket", "t1", "t2").applyInPandas(run, f"a {kind}, b {kind}").distinct(), "links"
-    )
+    groups = body.groupBy("bucket", "across", "x", "y")
+    return _saved(groups.applyInPandas(run, f"a {kind}, b {kind}").distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, share: int = SHARE) -> DataFrame:
@@ -282,13 +307,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = SHARE) -> DataFram
     now = members.filter(F.col("size") > 2).join(joined.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "bucket", "size", "doc_id", F.coalesce("component", "doc_id").alias("component")
     )
+    # The main component of each such bucket, and how many members are outside it.
     apart = (
-        now.groupBy("bucket")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .filter(F.col("lo") != F.col("hi"))
-        .select("bucket")
+        now.groupBy("bucket", "component")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("bucket")
+        .agg(F.max("n").alias("most"), F.sum("n").alias("all"), F.max_by("component", F.struct("n", "component")).alias("main"))
+        .filter(F.col("most") < F.col("all"))
+        .select("bucket", "main", (F.col("all") - F.col("most")).alias("outsiders"))
     )
-    residual = _saved(now.join(apart, "bucket", "left_semi"), "residual")
+    residual = _saved(now.join(apart, "bucket"), "residual")
     small = residual.filter(F.col("size") <= SMALL_BUCKET)
     x, y = small.alias("x"), small.alias("y")
     across = (
