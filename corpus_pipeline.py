@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from monthlake.llm import minhash, mixing, packing, quality_classifier, suffix_dedup
 from monthlake.llm import text as tx
-from monthlake.llm.queries import BATCH_ROWS
 from monthlake.plans.joins import dimension
-from monthlake.session import configure, shared_folder
+from monthlake.session import shared_folder
 
 SHINGLE_WORDS = 5
 DROPPED_IDS = 500_000  # up to so many ids are broadcast; more take a shuffled join
@@ -26,7 +25,7 @@ DROPPED_IDS = 500_000  # up to so many ids are broadcast; more take a shuffled j
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
-    _settings(spark)
+    tx.settings(spark)
     model = quality_classifier.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     kept = quality_classifier.score(docs, model).filter(F.col("predicted") == 1)
     return kept.select("_row.*").select(*docs.columns)
@@ -34,7 +33,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies; rows without an id link with nothing and stay."""
-    _settings(spark)
+    tx.settings(spark)
     found = minhash.near_duplicates(docs, k=SHINGLE_WORDS)
     dropped = found.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     path = shared_folder(spark, "dropped")
@@ -44,26 +43,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes that repeat elsewhere in the corpus."""
-    _settings(spark)
+    tx.settings(spark)
     return suffix_dedup.remove(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    _settings(spark)
+    tx.settings(spark)
     return mixing.mixed_rows(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each piece of a document, with its sequence and place there."""
-    _settings(spark)
+    tx.settings(spark)
     return packing.pack(docs, packing.default_tokenizer())
 
 
-def _settings(spark: SparkSession) -> None:
-    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-
-
 STAGES = [
     ("quality_classifier", quality),
     ("minhash_dedup", near_dedup),

@@ -14,18 +14,11 @@ from monthlake.llm import (
     suffix_dedup,
     url_filter,
 )
-from monthlake.session import configure
-
-#: Whole texts travel in these batches; a few thousand bound the memory of a Python worker.
-BATCH_ROWS = "2000"
+from monthlake.llm import text as tx
 
 
 def _configured(fn):
-    def run(spark, sf_dir):
-        configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-        return fn(spark, sf_dir)
-
-    return run
+    return lambda spark, sf_dir: fn(tx.settings(spark), sf_dir)
 
 
 _ALL = [

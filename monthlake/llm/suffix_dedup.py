@@ -182,35 +182,41 @@ def suffix_array(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     sign of its own, smaller than any byte and in segment order. Groups of equal first h bytes are
     refined by the rank h bytes on, h doubling; only groups of two or more are sorted again."""
     n = len(data)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    rest = ends - np.arange(n)
-    inside = np.minimum(rest, 8)
+    place = np.arange(n, dtype=np.int32)
+    rest = ends.astype(np.int32) - place
     key = np.zeros(n, np.uint64)
     for i in range(8):
-        byte = np.where(i < rest, padded[i : i + n], 0).astype(np.uint64)
-        key |= byte << np.uint64(56 - 8 * i)
-    order = np.lexsort((inside, key))
+        ahead = np.zeros(n, np.uint64)
+        ahead[: n - i] = data[i:]
+        ahead[rest <= i] = 0
+        key |= ahead << np.uint64(56 - 8 * i)
+    order = np.lexsort((np.minimum(rest, 8).astype(np.int8), key)).astype(np.int32)
+    short, key = rest[order] < 8, key[order]
     new = np.ones(n, bool)
-    k, r = key[order], rest[order]
-    new[1:] = (k[1:] != k[:-1]) | (r[1:] < 8) | (r[:-1] < 8)
-    first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank = np.empty(n, np.int64)
+    new[1:] = (key[1:] != key[:-1]) | short[1:] | short[:-1]
+    del key, short, rest, ahead
+    first = np.maximum.accumulate(np.where(new, place, 0))
+    rank = np.empty(n, np.int32)
     rank[order] = first
     h = 8
     while True:
-        size = np.bincount(first, minlength=n)
-        at = np.flatnonzero(size[first] > 1)  # places in the order that are not settled
+        # Places in the order that are not settled: their group goes on before or behind.
+        tied = np.zeros(n, bool)
+        tied[1:] = first[1:] == first[:-1]
+        tied[:-1] |= tied[1:]
+        at = np.flatnonzero(tied).astype(np.int32)
         if not len(at):
             return order
         p = order[at]
-        ahead = p + h
-        second = np.where(ahead < ends[p], rank[np.minimum(ahead, n - 1)] + n, p)
-        key2 = (first[at] << 32) | second
-        by = np.argsort(key2, kind="stable")
-        key2 = key2[by]
+        ahead = np.minimum(p + h, n - 1)
+        key = np.where(p + h < ends[p], rank[ahead].astype(np.int64) + n, p)
+        key |= first[at].astype(np.int64) << 32
+        by = np.argsort(key, kind="stable")
+        key = key[by]
         order[at] = p[by]
         fresh = np.ones(len(at), bool)
-        fresh[1:] = key2[1:] != key2[:-1]
+        fresh[1:] = key[1:] != key[:-1]
+        del key, by, ahead
         first[at] = np.maximum.accumulate(np.where(fresh, at, 0))
         rank[order[at]] = first[at]
         h *= 2
@@ -223,9 +229,9 @@ def common_prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, orde
     not depend on each other, so place t of every segment is handled at once.
     """
     n = len(data)
-    before = np.full(n, -1)
+    before = np.full(n, -1, np.int32)
     before[order[1:]] = order[:-1]
-    out = np.zeros(n, np.int64)
+    out = np.zeros(n, np.int16)
     seg_end = ends[starts]
     h = np.zeros(len(starts), np.int64)
     for t in range(int((seg_end - starts).max())):
@@ -233,7 +239,7 @@ def common_prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, orde
         p = starts[live] + t
         q = before[p]
         have = np.where(q >= 0, np.maximum(h[live] - 1, 0), 0)
-        most = np.where(q >= 0, np.minimum(seg_end[live] - p, ends[q] - q), 0)
+        most = np.where(q >= 0, np.minimum(np.minimum(seg_end[live] - p, ends[q] - q), LENGTH), 0)
         grow = np.flatnonzero(have < most)
         while len(grow):
             same = data[p[grow] + have[grow]] == data[q[grow] + have[grow]]
@@ -251,7 +257,7 @@ def repeated_starts(parts: list[bytes]) -> list[np.ndarray]:
     ends_of = np.cumsum(sizes)
     starts = ends_of - sizes
     data = np.frombuffer(b"".join(parts), np.uint8)
-    ends = np.repeat(ends_of, sizes)
+    ends = np.repeat(ends_of.astype(np.int32), sizes)
     order = suffix_array(data, ends)
     shared = common_prefixes(data, starts, ends, order)[order] >= LENGTH
     again = shared.copy()
@@ -363,7 +369,11 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shards = max(1, -(-total // SHARD_BYTES))
     hot = F.col("bytes") > HOT_BYTES
     placed = mixed.withColumn(
-        "shard", F.when(hot, F.lit(-1).cast("long")).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+        "shard",
+        # A large anchor does not share its shard, so none holds more than HOT_BYTES or about SHARD_BYTES.
+        F.when(hot, F.lit(-1).cast("long"))
+        .when(F.col("bytes") > SHARD_BYTES // 2, F.lit(shards) + F.shiftrightunsigned(F.xxhash64("anchor"), 2))
+        .otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards))),
     )
     parts = _saved(_contents(docs, told, placed), "parts")
     marked = _marked_by_suffix_arrays(parts.filter(F.col("shard") >= 0)).unionAll(

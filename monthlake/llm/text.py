@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from monthlake.session import configure
+
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 GAP_CHARS = " \t\n\x0b\x0c\r"
@@ -12,6 +14,17 @@ GAP_CHARS = " \t\n\x0b\x0c\r"
 HELD_OUT = 1
 
 
+#: Rows and bytes of a batch that travels to a Python worker; both bound its memory.
+BATCH_ROWS, BATCH_BYTES = "2000", "16m"
+
+
+def settings(spark):
+    configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
