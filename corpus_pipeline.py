@@ -4,9 +4,10 @@ Each stage takes (spark, docs, sf_dir), where docs is what the stage before kept
 DataFrame; all but the last return the columns of documents. `run` writes each stage's rows as
 Parquet to the shared folder and reads them for the next one.
 
-Defined cases: rows with null text or null doc_id pass through the stages as their operators say
-(null text: scored like an empty text, links with nothing, size 0, so the mix never takes it); an
-empty table gives an empty result; extra columns are kept up to the mix.
+Defined cases: rows with null text pass through the stages as their operators say (scored like an
+empty text, links with nothing, size 0, so the mix never takes it); near-dedup goes by rows, so a null
+or repeated doc_id makes no difference there; an empty table gives an empty result; extra columns are
+kept up to the mix.
 """
 
 from __future__ import annotations
@@ -32,13 +33,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; rows without an id link with nothing and stay."""
+    """One row of each group of near copies: that of the smallest doc_id, null last.
+
+    Rows count, not ids: each row gets a saved id of its own, so rows that repeat a doc_id and rows
+    without one are copies or unique like any other.
+    """
     tx.settings(spark)
-    found = minhash.near_duplicates(docs, k=SHINGLE_WORDS)
-    dropped = found.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    path = shared_folder(spark, "rows")
+    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    docs.select(F.monotonically_increasing_id().alias("row_id"), columns).write.parquet(path)
+    rows = spark.read.parquet(path)
+    found = minhash.near_duplicates(rows.select(F.col("row_id").alias("doc_id"), "row.text"), k=SHINGLE_WORDS)
+    path = shared_folder(spark, "groups")
+    found.select(F.col("doc_id").alias("row_id"), "component_id").write.parquet(path)
+    order = F.struct(F.col("row.doc_id").isNull().alias("without"), F.col("row.doc_id").alias("doc_id"), "row_id")
+    grouped = rows.select("row_id", order.alias("order")).join(spark.read.parquet(path), "row_id")
+    kept = grouped.groupBy("component_id").agg(F.min("order").alias("order")).select("order.row_id")
     path = shared_folder(spark, "dropped")
-    dropped.write.parquet(path)
-    return docs.join(dimension(spark.read.parquet(path), DROPPED_IDS), "doc_id", "left_anti").select(*docs.columns)
+    grouped.select("row_id").join(kept, "row_id", "left_anti").write.parquet(path)
+    return rows.join(dimension(spark.read.parquet(path), DROPPED_IDS), "row_id", "left_anti").select("row.*")
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
