@@ -1,9 +1,10 @@
-"""Suffix-array dedup: remove every byte covered by a 400-byte string that starts twice or more.
+"""Suffix-array dedup: remove every byte covered by a string of `length` bytes (400 unless told
+otherwise) that starts twice or more.
 
-All pairs of places cannot be compared, so strings are first routed by content. Each 400-byte
+All pairs of places cannot be compared, so strings are first routed by content. Each such
 string has an anchor: the smallest hash among its 64-byte grams. Equal strings have equal anchors,
 so strings are split by anchor, and no repeat is lost between shards. In a text, strings that share
-an anchor start at neighbouring places and form a segment (some 570 bytes).
+an anchor start at neighbouring places and form a segment (some 570 bytes at a length of 400).
 
 1. One Arrow pass lists the segments of each text as (anchor, content hash, length, place).
 2. Segments are counted by content, combining on the map side. Content that occurs twice is removed
@@ -11,7 +12,7 @@ an anchor start at neighbouring places and form a segment (some 570 bytes).
 3. Anchors that hold different contents are what copies with edits, and the edges of shared
    passages, leave. Each different content is fetched once and sent to the shard of its anchor. A
    shard builds its suffix array by Larsson-Sadakane refinement, takes common prefixes by Kasai's
-   method (all segments side by side), and marks starts with a prefix of 400 bytes in common.
+   method (all segments side by side), and marks starts with a prefix of `length` bytes in common.
 4. An anchor too large for a shard is cut into sub-shards; each sorts its strings' 128-bit
    fingerprints, and sub-shards are merged by looking those up (a grouped count, map side combined).
 5. Marks are joined back to segments and merged into spans of each text.
@@ -19,8 +20,8 @@ an anchor start at neighbouring places and form a segment (some 570 bytes).
 Texts themselves are read three times and are shuffled only where a text has something to fetch.
 Contents are equal when 64-bit anchor, 64-bit content hash and length are.
 
-Defined cases: null text counts as empty; texts under 400 bytes lose
-nothing; a row with null doc_id is judged like any other; repeated rows are
+Defined cases: null text counts as empty; texts under `length` bytes lose
+nothing; `length` is at least 64 (a gram); a row with null doc_id is judged like any other; repeated rows are
 repeats of each other; extra columns are dropped; an empty table gives an empty result.
 """
 
@@ -28,7 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
@@ -44,7 +45,6 @@ from monthlake.session import shared_folder
 
 LENGTH = 400
 GRAM = 64
-WINDOW = LENGTH - GRAM + 1  # grams of a string
 PART = 1 << 20  # starts handled at a time in a long text
 SHARD_BYTES = 1 << 20
 HOT_BYTES = 2 << 20
@@ -93,17 +93,17 @@ def _sliding_min(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
-def segments(data: np.ndarray):
+def segments(data: np.ndarray, length: int = LENGTH):
     """(anchor, content hash, length, place) of the segments of a text, as four arrays."""
     found = []
-    for at in range(0, max(0, len(data) - LENGTH + 1), PART):
-        part = data[at : at + PART + LENGTH - 1]
+    for at in range(0, max(0, len(data) - length + 1), PART):
+        part = data[at : at + PART + length - 1]
         prefix = _prefix(part)
         place = np.arange(len(part) - GRAM + 1)
         gram = _range_hash(prefix, place, place + GRAM)
-        low = _sliding_min((gram & ~_LOW) | place.astype(np.uint64), WINDOW) & _LOW
+        low = _sliding_min((gram & ~_LOW) | place.astype(np.uint64), length - GRAM + 1) & _LOW
         start = np.concatenate([[0], np.flatnonzero(np.diff(low)) + 1])
-        end = np.concatenate([start[1:], [len(low)]]) - 1 + LENGTH
+        end = np.concatenate([start[1:], [len(low)]]) - 1 + length
         found.append((gram[low[start].astype(np.int64)], _range_hash(prefix, start, end), end - start, start + at))
     if not found:
         return tuple(np.empty(0, np.uint64 if i < 2 else np.int64) for i in range(4))
@@ -133,7 +133,7 @@ def _listed(rows: list[list[tuple]], names: tuple[str, ...], kinds: tuple) -> pa
     return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(arrays, list(names)))
 
 
-def survey(docs: DataFrame) -> DataFrame:
+def survey(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """row_id, doc_id, key (md5), sha, n_bytes, segs (different segments of the text), own (spans
     whose segment occurs twice within the text)."""
     body = F.coalesce("text", F.lit(""))
@@ -146,6 +146,7 @@ def survey(docs: DataFrame) -> DataFrame:
         body.alias("text"),
     )
     plain = ("row_id", "doc_id", "key", "sha", "n_bytes")
+    split = segments if length == LENGTH else partial(segments, length=length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (c for b in batches for c in _chunks(b)):
@@ -153,8 +154,8 @@ def survey(docs: DataFrame) -> DataFrame:
             for text in batch["text"]:
                 raw = text.as_buffer()
                 seen: dict[tuple, list] = {}
-                if raw is not None and raw.size >= LENGTH:
-                    columns = segments(np.frombuffer(raw, np.uint8))
+                if raw is not None and raw.size >= length:
+                    columns = split(np.frombuffer(raw, np.uint8))
                     anchor, content = (c.view(np.int64).tolist() for c in columns[:2])
                     for a, c, n, p in zip(anchor, content, columns[2].tolist(), columns[3].tolist(), strict=True):
                         seen.setdefault((a, c, n), []).append(p)
@@ -222,8 +223,10 @@ def suffix_array(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
         h *= 2
 
 
-def common_prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Common prefix of each suffix with the one before it in the order, at most LENGTH, by text place.
+def common_prefixes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, order: np.ndarray, length: int = LENGTH
+) -> np.ndarray:
+    """Common prefix of each suffix with the one before it in the order, at most `length`, by text place.
 
     Kasai: a text place keeps all but one of the common bytes of the place before it. Segments do
     not depend on each other, so place t of every segment is handled at once.
@@ -231,7 +234,7 @@ def common_prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, orde
     n = len(data)
     before = np.full(n, -1, np.int32)
     before[order[1:]] = order[:-1]
-    out = np.zeros(n, np.int16)
+    out = np.zeros(n, np.int16 if length < 1 << 15 else np.int32)
     seg_end = ends[starts]
     h = np.zeros(len(starts), np.int64)
     for t in range(int((seg_end - starts).max())):
@@ -239,7 +242,7 @@ def common_prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, orde
         p = starts[live] + t
         q = before[p]
         have = np.where(q >= 0, np.maximum(h[live] - 1, 0), 0)
-        most = np.where(q >= 0, np.minimum(np.minimum(seg_end[live] - p, ends[q] - q), LENGTH), 0)
+        most = np.where(q >= 0, np.minimum(np.minimum(seg_end[live] - p, ends[q] - q), length), 0)
         grow = np.flatnonzero(have < most)
         while len(grow):
             same = data[p[grow] + have[grow]] == data[q[grow] + have[grow]]
@@ -251,35 +254,35 @@ def common_prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, orde
     return out
 
 
-def repeated_starts(parts: list[bytes]) -> list[np.ndarray]:
-    """For each segment, which of its starts (with LENGTH bytes ahead) have their string elsewhere."""
+def repeated_starts(parts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
+    """For each segment, which of its starts (with `length` bytes ahead) have their string elsewhere."""
     sizes = np.array([len(x) for x in parts])
     ends_of = np.cumsum(sizes)
     starts = ends_of - sizes
     data = np.frombuffer(b"".join(parts), np.uint8)
     ends = np.repeat(ends_of.astype(np.int32), sizes)
     order = suffix_array(data, ends)
-    shared = common_prefixes(data, starts, ends, order)[order] >= LENGTH
+    shared = common_prefixes(data, starts, ends, order, length)[order] >= length
     again = shared.copy()
     again[:-1] |= shared[1:]
     marked = np.zeros(len(data), bool)
     marked[order] = again
-    return [marked[s : s + max(0, n - LENGTH + 1)] for s, n in zip(starts, sizes, strict=True)]
+    return [marked[s : s + max(0, n - length + 1)] for s, n in zip(starts, sizes, strict=True)]
 
 
-def _runs(marks: np.ndarray) -> list[tuple[int, int]]:
+def _runs(marks: np.ndarray, length: int) -> list[tuple[int, int]]:
     """Spans of bytes, relative to the segment, that marked starts cover."""
     edge = np.diff(np.concatenate([[0], marks.astype(np.int8), [0]]))
-    return merged([(int(s), int(e) - 1 + LENGTH) for s, e in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)])
+    return merged([(int(s), int(e) - 1 + length) for s, e in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)])
 
 
-def string_hashes(part: bytes) -> list[tuple[int, int]]:
+def string_hashes(part: bytes, length: int = LENGTH) -> list[tuple[int, int]]:
     """Two 64-bit fingerprints of each string of a segment."""
     data = np.frombuffer(part, np.uint8)
-    at = np.arange(len(data) - LENGTH + 1)
-    half = LENGTH // 2
+    at = np.arange(len(data) - length + 1)
+    half = length // 2
     prefix = _prefix(data)
-    left, right = _range_hash(prefix, at, at + half), _range_hash(prefix, at + half, at + LENGTH)
+    left, right = _range_hash(prefix, at, at + half), _range_hash(prefix, at + half, at + length)
     whole = _mixed(left + np.uint64(0x632BE59BD9B4E019) * right)
     return list(zip(left.view(np.int64).tolist(), whole.view(np.int64).tolist(), strict=True))
 
@@ -323,22 +326,22 @@ def _contents(docs: DataFrame, told: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def _marked_by_suffix_arrays(parts: DataFrame) -> DataFrame:
+def _marked_by_suffix_arrays(parts: DataFrame, length: int) -> DataFrame:
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["anchor", "content", "len"], kind="stable")
-        spans = [_runs(m) for m in repeated_starts(frame["part"].tolist())]
+        spans = [_runs(m, length) for m in repeated_starts(frame["part"].tolist(), length)]
         out = frame[["anchor", "content", "len"]].assign(spans=[[{"s": s, "e": e} for s, e in x] for x in spans])
         return out[[bool(x) for x in spans]]
 
     return parts.groupBy("shard").applyInPandas(run, f"anchor long, content long, len int, spans {SPAN}")
 
 
-def _marked_by_fingerprints(parts: DataFrame) -> DataFrame:
+def _marked_by_fingerprints(parts: DataFrame, length: int) -> DataFrame:
     """The same for anchors beyond one shard: counts of fingerprints over all sub-shards."""
 
     @F.pandas_udf("array<struct<x:long,y:long>>")
     def hashes(parts: pd.Series) -> pd.Series:
-        return parts.map(lambda b: [{"x": x, "y": y} for x, y in string_hashes(b)])
+        return parts.map(lambda b: [{"x": x, "y": y} for x, y in string_hashes(b, length)])
 
     strings = _saved(
         parts.select("anchor", "content", "len", F.posexplode(hashes("part")).alias("at", "h")).select(
@@ -347,13 +350,13 @@ def _marked_by_fingerprints(parts: DataFrame) -> DataFrame:
         "strings",
     )
     again = strings.groupBy("x", "y").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select("x", "y")
-    covered = F.struct(F.col("at").alias("s"), (F.col("at") + LENGTH).alias("e"))
+    covered = F.struct(F.col("at").alias("s"), (F.col("at") + length).alias("e"))
     return strings.join(again, ["x", "y"]).groupBy("anchor", "content", "len").agg(F.collect_list(covered).alias("spans"))
 
 
-def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def removed_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """The survey of `docs` (saved), and row_id with the spans (may overlap) found across texts."""
-    told = _saved(survey(docs), "survey")
+    told = _saved(survey(docs, length), "survey")
     listed = told.select("row_id", F.explode("segs").alias("s")).select("row_id", "s.*")
     contents = _saved(
         listed.groupBy("anchor", "content", "len").agg(F.sum("times").alias("times"), F.min("row_id").alias("row_id")),
@@ -376,8 +379,8 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards))),
     )
     parts = _saved(_contents(docs, told, placed), "parts")
-    marked = _marked_by_suffix_arrays(parts.filter(F.col("shard") >= 0)).unionAll(
-        _marked_by_fingerprints(parts.filter(F.col("shard") < 0))
+    marked = _marked_by_suffix_arrays(parts.filter(F.col("shard") >= 0), length).unionAll(
+        _marked_by_fingerprints(parts.filter(F.col("shard") < 0), length)
     )
     whole = contents.filter(F.col("times") > 1).select(
         "anchor", "content", "len", F.array(F.struct(F.lit(0).alias("s"), F.col("len").alias("e"))).alias("spans")
@@ -404,9 +407,9 @@ def _merged_spans():
     return run
 
 
-def judged(docs: DataFrame) -> DataFrame:
+def judged(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """row_id, doc_id, key, sha, n_bytes, cut (removed spans: sorted, apart from each other)."""
-    told, spans = removed_spans(docs)
+    told, spans = removed_spans(docs, length)
     all_spans = F.concat(F.col("own"), F.coalesce("spans", F.array().cast(SPAN)))
     joined = told.select("row_id", "doc_id", "key", "sha", "n_bytes", "own").join(spans, "row_id", "left")
     return _saved(
@@ -426,9 +429,9 @@ def _removed() -> F.Column:
     return F.aggregate("cut", F.lit(0).cast("long"), lambda n, x: n + x["e"] - x["s"])
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row."""
-    found = judged(docs).withColumn("n_removed", _removed()).withColumn("n_spans", F.size("cut").cast("long"))
+    found = judged(docs, length).withColumn("n_removed", _removed()).withColumn("n_spans", F.size("cut").cast("long"))
     partly = (F.col("n_removed") > 0) & (F.col("n_removed") < F.col("n_bytes"))
     # Equal texts lose all or nothing, so a partly cut text has a key of its own.
     cuts = found.filter(partly).select("key", "cut").dropDuplicates(["key"])
@@ -445,12 +448,12 @@ def digests(docs: DataFrame) -> DataFrame:
     )
 
 
-def remove(docs: DataFrame) -> DataFrame:
+def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """`docs` with repeated bytes cut out of its text; columns and rows stay.
 
     A character that loses some of its bytes is dropped whole.
     """
-    found = judged(docs).filter(F.size("cut") > 0).select("key", "cut").dropDuplicates(["key"])
+    found = judged(docs, length).filter(F.size("cut") > 0).select("key", "cut").dropDuplicates(["key"])
     cuts = _saved(found.toDF("_cut_key", "_cut"), "cuts")
 
     @F.pandas_udf("string")

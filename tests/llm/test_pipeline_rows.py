@@ -1,11 +1,13 @@
 """The pipeline's dedup stages on rows: repeated and null ids, and passages of just over 50 words."""
 
-from monthlake.session import shared_folder
+import pytest
 
 import corpus_pipeline
+from monthlake.llm import suffix_dedup
+from monthlake.session import shared_folder
 
 from .conftest import DOCS, SMALL, prose
-from .test_dedup import edited
+from .test_dedup import edited, passage_corpus, repeats
 
 
 def staged(batches, docs, names):
@@ -39,3 +41,24 @@ def test_one_row_of_each_group_stays(batches):
     after = [r.text for r in staged(batches, docs, ["minhash_dedup", "suffix_dedup"])]
     for text in (twice, null, pair, alone, other, bare):
         assert len(text) >= 400 and after.count(text) == 1
+
+
+def test_a_passage_of_55_words_is_cut(batches):
+    passage = " ".join(prose(600, 70).split()[:55])
+    assert 51 * 5 < len(passage) < 400
+    own = [(prose(610 + i, 90), prose(620 + i, 90)) for i in range(3)]
+    docs = batches.createDataFrame([(i, f"{a} {passage} {b}", "en", "s1") for i, (a, b) in enumerate(own)], DOCS)
+    got = {r.doc_id: r.text for r in staged(batches, docs, ["minhash_dedup", "suffix_dedup"])}
+    for i, (a, b) in enumerate(own):
+        assert passage not in got[i] and len(got[i]) <= len(a) + len(b)
+        # A neighbour's byte may happen to be the same in two texts.
+        assert got[i].startswith(a[:-3]) and got[i].endswith(b[3:])
+
+
+@pytest.mark.parametrize("length,hot", [(corpus_pipeline.PASSAGE, suffix_dedup.HOT_BYTES), (101, 1), (64, 3000)])
+def test_other_lengths_equal_brute_force(batches, make, monkeypatch, length, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", hot)
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 4000)
+    texts = passage_corpus()
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digests(make(texts), length).collect()}
+    assert [got[i] for i in range(len(texts))] == repeats(texts, length)
