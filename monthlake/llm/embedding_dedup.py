@@ -181,19 +181,19 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         .withColumn("dim", F.size("embedding")),
         "vectors",
     )
+    # A class has an id of its own (saved): a vec_id may stand in several classes.
     classes = _saved(
-        rows.groupBy("label", "dim", "key").agg(
-            F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.any_value("embedding").alias("embedding")
-        ),
+        rows.groupBy("label", "dim", "key")
+        .agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"), F.any_value("embedding").alias("embedding"))
+        .withColumn("rep", F.monotonically_increasing_id()),
         "classes",
     )
     axes = principal_axes(classes)
-    tiled = _saved(tiles(classes.drop("key"), axes), "tiles")
+    tiled = _saved(tiles(classes.drop("key", "least"), axes), "tiles")
     pairs = _saved(tile_pairs(tiled, threshold), "tile-pairs")
     body = tiled.select("label", "dim", "tile", "rep", "n", "embedding")
     sides = pairs.select("*", F.explode(F.array_distinct(F.array("ta", "tb"))).alias("tile"))
     work = body.join(sides, ["label", "dim", "tile"]).withColumn("first", F.col("tile") == F.col("ta"))
-    id_type = vectors.schema["vec_id"].dataType.simpleString()
 
     def compare(key, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("rep", kind="stable")
@@ -214,17 +214,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     found = _saved(
         work.select("label", "dim", "ta", "tb", "rep", "n", "first", "embedding")
         .groupBy("label", "dim", "ta", "tb")
-        .applyInPandas(compare, f"rep {id_type}, links long, root {id_type}"),
+        .applyInPandas(compare, "rep long, links long, root long"),
         "found",
     )
     joined = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     sums = found.groupBy("rep").agg(F.sum("links").alias("_links"))
+    members = joined.withColumnRenamed("id", "rep").join(classes.select("rep", "least"), "rep")
+    named = members.groupBy("component").agg(F.min("least").alias("component_id"))
     told = (
-        classes.select("label", "dim", "key", "rep", "n")
+        classes.select("label", "dim", "key", "rep", "least", "n")
         .join(sums, "rep", "left")
         .join(joined.withColumnRenamed("id", "rep"), "rep", "left")
+        .join(named, "component", "left")
         .select("label", "dim", "key", (F.coalesce("_links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-                F.coalesce("component", "rep").alias("component_id"))
+                F.coalesce("component_id", "least").alias("component_id"))
     )
     linked = rows.select("vec_id", "label", "dim", "key").join(told, ["label", "dim", "key"])
     alone = vectors.filter(~F.coalesce(_usable(), F.lit(False))).select(
