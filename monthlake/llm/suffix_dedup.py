@@ -13,8 +13,9 @@ an anchor start at neighbouring places and form a segment (some 570 bytes at a l
    passages, leave. Each different content is fetched once and sent to the shard of its anchor. A
    shard builds its suffix array by Larsson-Sadakane refinement, takes common prefixes by Kasai's
    method (all segments side by side), and marks starts with a prefix of `length` bytes in common.
-4. An anchor too large for a shard is cut into sub-shards; each sorts its strings' 128-bit
-   fingerprints, and sub-shards are merged by looking those up (a grouped count, map side combined).
+4. An anchor too large for a shard takes no suffix array: each of its strings becomes a row of two
+   64-bit fingerprints, and a grouped count (combined on the map side) finds those that occur twice.
+   This replaces sub-shards merged by binary search.
 5. Marks are joined back to segments and merged into spans of each text.
 
 Texts themselves are read three times and are shuffled only where a text has something to fetch.
@@ -337,7 +338,7 @@ def _marked_by_suffix_arrays(parts: DataFrame, length: int) -> DataFrame:
 
 
 def _marked_by_fingerprints(parts: DataFrame, length: int) -> DataFrame:
-    """The same for anchors beyond one shard: counts of fingerprints over all sub-shards."""
+    """The same for anchors beyond one shard, by counting the fingerprints of their strings."""
 
     @F.pandas_udf("array<struct<x:long,y:long>>")
     def hashes(parts: pd.Series) -> pd.Series:
