@@ -12,7 +12,10 @@ from monthlake.llm import (
     quality_classifier,
     quality_rules,
     suffix_dedup,
+    toxicity,
     url_filter,
+    vector_codes,
+    whitening,
 )
 from monthlake.llm import text as tx
 
@@ -32,6 +35,9 @@ _ALL = [
     packing.op8_best_fit_packing,
     license_scan.op9_license_scan,
     url_filter.op10_url_filter,
+    whitening.op11_embedding_whitening,
+    toxicity.op12_toxicity,
+    vector_codes.op13_vector_codes,
 ]
 
 QUERIES = {fn.__name__: _configured(fn) for fn in _ALL}
@@ -40,4 +46,5 @@ SQL = {
     "op4_source_mix": mixing.OP4_SQL,
     "op9_license_scan": license_scan.OP9_SQL,
     "op10_url_filter": url_filter.OP10_SQL,
+    "op13_vector_codes": vector_codes.OP13_SQL,
 }
