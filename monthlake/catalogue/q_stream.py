@@ -11,7 +11,7 @@ from monthlake.functions.contract import FLAGS, TRIPS
 from monthlake.plans import reports, star
 from monthlake.session import shared_folder
 from monthlake.sources import lake
-from monthlake.streaming import ingest, views
+from monthlake.streaming import compaction, ingest, state, views
 from monthlake.streaming.wire import decode
 
 
@@ -57,6 +57,31 @@ def raw_sink(spark, sf):
     return _per_day(ingest.delivered(spark, _ingested(spark, sf)))
 
 
+@query(
+    "a19k_compacted",
+    f"""{STREAM_SQL}, kept as (
+      select cast(publish_time as date) as d, * from stored)
+    select cast(d as varchar) as publish_date, count(*) as deliveries,
+      cast(sum(fare_amount) as double) as fare_amount, 1::bigint as files
+    from kept where d >= (select max(d) from kept) - 3 group by d""",
+)
+def compacted(spark, sf):
+    """The last days of a table that several batches wrote, older days expired, each day folded into one file."""
+    inbox, table, checkpoint = (shared_folder(spark, p) for p in ("inbox", "deliveries", "state"))
+    fx.envelopes(spark, sf).repartition(4).write.json(inbox)
+    source = ingest.json_source(spark, inbox, files_per_batch=1)
+    ingest.start_ingest(source, table, checkpoint).awaitTermination()
+    compaction.expire(spark, table, compaction.days(spark, table)[-1], keep_days=3)
+    for day in compaction.days(spark, table):
+        compaction.compact(spark, table, day, checkpoint)
+    rows = ingest.delivered(spark, table)
+    sums = rows.groupBy("publish_date").agg(
+        F.count(F.lit(1)).alias("deliveries"),
+        F.sum(F.col("fare_amount").cast("decimal(15,2)")).cast("double").alias("fare_amount"),
+    )
+    return sums.join(compaction.data_files(rows), "publish_date")
+
+
 EVENTS_SQL = """
 deliveries as (
   select event_id, ts, cast(ts as date) as publish_date, event_type, value,
@@ -123,6 +148,44 @@ def first_delivery(spark, sf):
     )
 
 
+#: Longer than all publish times of the fixture: the files come in no order, and no row is late.
+ALL_TIMES = {"lateness": "9000 days", "keep_days": 9000}
+
+
+def _stream_of_deliveries(spark, sf, batches: int = 4):
+    """The deliveries on the wire as a stream of several batches."""
+    inbox = shared_folder(spark, "inbox")
+    fx.envelopes(spark, sf).repartition(batches).write.json(inbox)
+    rows = decode(ingest.json_source(spark, inbox, files_per_batch=1))
+    return rows.filter("contract_error is null").select(*ingest.DELIVERED)
+
+
+@query(
+    "i10_first_seen",
+    f"""{STREAM_SQL} select event_id, message_id, cast(publish_time as varchar) as publish_time
+    from firsts""",
+)
+def first_seen(spark, sf):
+    """The first delivery of each event, kept by keyed state over a real stream."""
+    rows = _stream_of_deliveries(spark, sf)
+    table, checkpoint = shared_folder(spark, "firsts"), shared_folder(spark, "state")
+    state.start_updates(state.first_seen(rows, **ALL_TIMES), table, checkpoint).awaitTermination()
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return state.first_table(spark, table, schema).select("event_id", "message_id", "publish_time")
+
+
+@query(
+    "i04s_live_flags",
+    f"{STREAM_SQL} select event_id, is_near_duplicate from events_judged",
+)
+def live_twin_flags(spark, sf):
+    """The near-duplicate flag of each event, kept by keyed state and corrected when a twin comes."""
+    rows = _stream_of_deliveries(spark, sf)
+    table, checkpoint = shared_folder(spark, "flags"), shared_folder(spark, "state")
+    state.start_updates(state.twin_flags(rows, **ALL_TIMES), table, checkpoint).awaitTermination()
+    return state.flag_table(spark, table)
+
+
 @query(
     "i01n_events_first",
     f"""with {EVENTS_SQL} select event_id, cast(min(ts) as varchar) as ts, k, count(*) as deliveries

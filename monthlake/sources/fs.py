@@ -28,3 +28,40 @@ def child_dirs(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(target):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
+
+
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below; none for an absent directory."""
+    fs, target = _at(spark, path)
+    if not fs.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isFile())
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below."""
+    fs, target = _at(spark, path)
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, such as a marker."""
+    fs, target = _at(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small new file whole or not at all: under another name first, then renamed into place."""
+    fs, target = _at(spark, path)
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{target.getName()}.tmp")
+    stream = fs.create(hidden, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(hidden, target):
+        raise OSError(f"cannot write {path}")

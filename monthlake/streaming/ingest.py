@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from monthlake.sources import fs
 from monthlake.streaming.wire import ENVELOPE, FIELDS, decode
 
+OUTCOMES = ("delivered", "refused")
 DELIVERED = ["message_id", "publish_time", *[n for n, _, _ in FIELDS]]
 
 
@@ -85,20 +86,30 @@ def start_ingest(deliveries: DataFrame, table: str, checkpoint: str, **trigger)
     )
 
 
+def _outcome(spark: SparkSession, table: str, outcome: str) -> DataFrame | None:
+    """Rows of an outcome that readers may see (see compaction); None before the first."""
+    from monthlake.streaming import compaction  # compaction builds on this module
+
+    path = f"{table}/outcome={outcome}"
+    if not fs.child_dirs(spark, path):
+        return None
+    return spark.read.parquet(path).filter(compaction.visible(spark, table, outcome))
+
+
 def delivered(spark: SparkSession, table: str) -> DataFrame:
     """Every delivery that fits the contract, repeats included, with its publish_date."""
-    if not fs.exists(spark, f"{table}/outcome=delivered"):
+    rows = _outcome(spark, table, "delivered")
+    if rows is None:
         nothing = decode(spark.createDataFrame([], ENVELOPE)).select(*DELIVERED)
         return nothing.withColumn("publish_date", F.to_date("publish_time"))
-    return spark.read.parquet(f"{table}/outcome=delivered").select(*DELIVERED, "publish_date")
+    return rows.select(*DELIVERED, "publish_date")
 
 
 def refused(spark: SparkSession, table: str) -> DataFrame:
     """Deliveries that break the contract: raw text and the reason."""
-    if not fs.exists(spark, f"{table}/outcome=refused"):
+    rows = _outcome(spark, table, "refused")
+    if rows is None:
         return spark.createDataFrame(
             [], "message_id string, publish_time timestamp, data string, contract_error string"
         )
-    return spark.read.parquet(f"{table}/outcome=refused").select(
-        "message_id", "publish_time", "data", "contract_error"
-    )
+    return rows.select("message_id", "publish_time", "data", "contract_error")
