@@ -7,6 +7,6 @@ from importlib import import_module
 
 def load():
     """The registry, filled."""
-    for part in ("q_rules", "q_star", "q_marts", "q_stream", "q_profile", "q_checks", "q_lake"):
+    for part in ("q_rules", "q_star", "q_marts", "q_stream", "q_profile", "q_checks", "q_lake", "q_open"):
         import_module(f"monthlake.catalogue.{part}")
     return import_module("monthlake.catalogue.registry")

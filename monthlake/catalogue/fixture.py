@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from monthlake.functions.columns import row_fingerprint
 from monthlake.functions.contract import TRIPS
 from monthlake.operators.classify import classify
+from monthlake.operators.rules import REQUIRED
 from monthlake.plans.star import calendar, fact_trips, stage_trips
 from monthlake.session import configure
 from monthlake.streaming.ingest import DELIVERED
@@ -254,10 +255,9 @@ def _duck_judged() -> str:
     signed = ", ".join(f"case when neg then -{m} else {m} end as o_{m}" for m in money)
     identity = "source_month, vendor_id, pickup_datetime, dropoff_datetime, pu_location_id, do_location_id"
     sig = f"{identity}, {', '.join('o_' + m for m in money)}"
-    required = "vendor_id pickup_datetime dropoff_datetime pu_location_id do_location_id payment_type trip_distance fare_amount total_amount".split()
     secs = "date_diff('second', pickup_datetime, dropoff_datetime)"
     rules = {
-        "missing_required_field": " or ".join(f"{c} is null" for c in required),
+        "missing_required_field": " or ".join(f"{c} is null" for c in REQUIRED),
         "invalid_location_id": "pu_location_id not between 1 and 265 or do_location_id not between 1 and 265",
         "pickup_outside_source_month": "pickup_datetime < source_month or pickup_datetime >= source_month + interval 1 month",
         "dropoff_before_pickup": "dropoff_datetime < pickup_datetime",

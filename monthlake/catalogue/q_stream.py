@@ -254,9 +254,11 @@ UNIFIED = _items(views.UNIFIED_COLUMNS)
 )
 def unified(spark, sf):
     """Batch covers months before September 2001; the stream serves what comes after its mark."""
-    batch = fx.fact(spark, sf).filter(F.col("source_month") < F.lit(BATCH_UNTIL).cast("date"))
+    path = shared_folder(spark, "fact")
+    rows = fx.curated_trips(spark, sf).filter(F.col("source_month") < F.lit(BATCH_UNTIL).cast("date"))
+    star.build_fact(spark, rows, path)
     live = views.fact_live(_judged(spark, sf))
-    return views.fact_unified(batch, live, star.high_water_mark(batch))
+    return views.fact_unified(lake.read_table(spark, path), live, star.stored_mark(spark, path))
 
 
 @query(
@@ -343,6 +345,21 @@ def stream_quality(spark, sf):
     return reports.stream_quality(rows, views.judged_events(rows), _as_of())
 
 
+H06_SQL = f"""{STREAM_SQL} select cast(date_trunc('minute', publish_time) as varchar) as minute,
+      count(*) filter (where reject_reason is null) as trips,
+      count(*) filter (where reject_reason is not null) as rejected
+    from events_judged
+    where publish_time >= timestamp '{AS_OF}' - interval 60 minutes
+    group by date_trunc('minute', publish_time)"""
+
+
+@query("h06d_last_hour_from_days", H06_SQL)
+def last_hour_from_days(spark, sf):
+    """The last hour from the delivery table, of which the files of two days are opened."""
+    rows = views.published_within(ingest.delivered(spark, _ingested(spark, sf)), _as_of(), "60 minutes")
+    return reports.live_last_hour(views.ruled_events(rows), _as_of()).drop("revenue")
+
+
 @query(
     "h06s_minute_counts_stream",
     f"""{STREAM_SQL} select cast(date_trunc('minute', publish_time) as varchar) as minute,

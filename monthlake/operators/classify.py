@@ -9,7 +9,7 @@ window below partitions by a prefix of one sort order, so nothing is exchanged o
     `--------- one side of a signature (ranks) -----------------------------'
 
 A trip identity that holds a large share of all rows (bad clocks, NULL identities, a file pasted
-many times) would make one task of that. Such identities are found with a bounded sketch and take
+many times) would make one task of that. Such identities are found by counting a sample and take
 the counted route: copies collapse on the map side, and ranks are prefix sums over MD5 slots.
 Both routes give the same rows.
 """

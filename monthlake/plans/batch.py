@@ -1,8 +1,8 @@
 """The monthly job: raw months in, curated and quarantined partitions and a report out.
 
 Commit protocol per month: the old report goes first; judged rows are written once to the shared
-folder; both outputs are cut from that copy without a second classification; they are read back
-and reconciled; the report comes last. A loader that insists on the report never sees a torn month.
+folder; both outputs are cut from that copy without a second classification; what their writers
+counted is reconciled with the source and the report; the report comes last. A loader that insists on the report never sees a torn month.
 """
 
 from __future__ import annotations
@@ -10,10 +10,10 @@ from __future__ import annotations
 from datetime import date
 
 import pyspark
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthlake.functions.contract import TRIPS, check_schema, select_declared
+from monthlake.functions.contract import TRIPS, ContractViolation, check_schema, select_declared
 from monthlake.functions.months import Month, layout_columns, month_path
 from monthlake.operators.classify import classify
 from monthlake.operators.dq import month_reports
@@ -25,6 +25,10 @@ from monthlake.sources import fs, lake, raw
 CLUSTER = {"curated": ("pu_location_id", "do_location_id"), "quarantine": ("reject_reason",)}
 
 
+#: What a month's own files can cause. Anything else is a fault of the cluster, and ends a backfill.
+BAD_MONTH = (ContractViolation, FileNotFoundError, raw.UnreadableFiles, lake.LoadMismatch)
+
+
 class ReconciliationError(RuntimeError):
     """Written rows do not account for every source row exactly once."""
 
@@ -73,10 +77,18 @@ def reports(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(ddl).json(path)
 
 
-def committed(zone: DataFrame, reported: DataFrame) -> DataFrame:
-    """Rows of months that have a report; a crashed run's months stay invisible."""
-    months = dimension(reported.select(F.col("month_start").alias("source_month")))
-    return zone.join(months, "source_month", "left_semi")
+def committed(zone: DataFrame, reported: DataFrame, rows: str = "curated_rows") -> DataFrame:
+    """Rows of months whose report tells of some in this zone; a crashed run's months stay invisible.
+
+    `rows` is the report's count for the zone. Joined on the directory columns: the months found
+    prune the directories at run time, and files of other months are not opened.
+    """
+    months = dimension(reported.filter(F.col(rows) > 0).select(*_directory(F.col("month_start"))))
+    return zone.join(months, ["year", "month"], "left_semi").select(*zone.columns)
+
+
+def _directory(month: Column) -> list[Column]:
+    return [c.alias(n) for n, c in layout_columns(month).items()]
 
 
 def _with_layout(df: DataFrame) -> DataFrame:
@@ -103,11 +115,13 @@ def run_months(
     *,
     policy: HotPolicy | None = DEFAULT_POLICY,
     sources: dict[date, str] | None = None,
+    read_back: bool = False,
 ) -> DataFrame:
     """Process `months` of `typed` (contract columns, source_month, processed_at) in one job.
 
     Returns the reports of these months. Running it again replaces the same partitions. `sources`
-    names the files each month was read from, for its report.
+    names the files each month was read from, for its report. Both outputs are reconciled by what their writers
+    counted; with `read_back`, by reading them again.
     """
     require_utc(spark)
     for month in months:
@@ -133,21 +147,24 @@ def run_months(
         }
     )
     said = {r.month_start: r for r in fresh.collect()}  # one row per month
+    written = {}
     for zone, (part, schema) in outputs.items():
         declared = select_declared(part, schema)
         check_schema(declared.schema, schema, zone)
-        lake.swap_partitions(
-            _with_layout(declared), f"{root}/{zone}", ["year", "month"], sort=CLUSTER[zone]
+        counts = {f"{d:%Y-%m-%d}": F.count_if(F.col("source_month") == F.lit(d)) for d in firsts}
+        seen = lake.swap_partitions(
+            _with_layout(declared), f"{root}/{zone}", ["year", "month"], sort=CLUSTER[zone], observed=counts
         )
-    written = {}
+        written[zone] = {date.fromisoformat(d): n for d, n in seen.items()}
     for zone, column in (("curated", "curated_rows"), ("quarantine", "quarantined_rows")):
         for month in months:
             if month.first not in said or said[month.first][column] == 0:
                 lake.clear_partition(
                     spark, f"{root}/{zone}", year=f"{month.first:%Y}", month=f"{month.first:%m}"
                 )
-        zone_rows = curated(spark, root) if zone == "curated" else quarantine(spark, root)
-        written[zone] = _counts(zone_rows.filter(in_directories(months)))
+        if read_back:
+            zone_rows = curated(spark, root) if zone == "curated" else quarantine(spark, root)
+            written[zone] = _counts(zone_rows.filter(in_directories(months)))
     _reconcile(months, source, said, written)
     spark.createDataFrame(list(said.values()), fresh.schema).withColumns(
         layout_columns(F.col("month_start"))
@@ -192,7 +209,7 @@ def backfill(
     """Process and load the months that are not done; a bad month is recorded and the rest go on.
 
     Returns month_start, status (skipped, loaded or failed) and error. All open months are tried in
-    one job; only when that fails is each tried alone, so one bad file costs no other month.
+    one job; only when that fails by the files' fault is each tried alone, so one bad file costs no other month.
     """
     status: dict[date, tuple[str, str | None]] = {}
     said = reports(spark, root)
@@ -215,11 +232,11 @@ def backfill(
     if todo:
         try:
             attempt(todo)
-        except Exception:
+        except BAD_MONTH:
             for month in todo:
                 try:
                     attempt([month])
-                except Exception as e:
+                except BAD_MONTH as e:
                     status[month.first] = ("failed", f"{type(e).__name__}: {str(e)[:300]}")
     rows = [(m.first, *status[m.first]) for m in months]
     return spark.createDataFrame(rows, "month_start date, status string, error string")

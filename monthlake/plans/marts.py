@@ -11,8 +11,8 @@ from monthlake.plans.joins import dimension
 from monthlake.plans.star import CARD
 from monthlake.sources import fs, lake
 
-# Miles are summed as decimals, so totals do not depend on the order of tasks. Twelve decimals hold
-# every digit a distance in miles is written with; nothing is rounded before the sum.
+# Miles are summed as decimals, so totals do not depend on the order of tasks. Each is rounded to twelve places
+# first, which holds every digit a distance in miles is written with.
 EXACT_MILES = "decimal(38,12)"
 
 

@@ -38,6 +38,12 @@ def child_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isFile())
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    fs, target = _at(spark, path)
+    if not fs.rename(target, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot rename {path}")
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes of all files below."""
     fs, target = _at(spark, path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from monthlake.sources import fs
@@ -30,15 +30,22 @@ def swap_partitions(
     *,
     sort: Sequence[str] = (),
     full_refresh: bool = False,
-) -> None:
+    observed: dict[str, Column] | None = None,
+) -> dict[str, int]:
     """Replace exactly the partitions present in `df`; with full_refresh, the whole table.
 
     The rebalance gives each partition files of a good size and splits a partition that holds a
     large share of the rows; sorting inside them lets row groups be skipped later.
+
+    `observed` are aggregates over the rows as they go to the writer; their values are returned. They are
+    measured behind the last exchange, in the tasks that write, so a task that runs again is not counted twice.
     """
     shaped = df.hint("rebalance", *by)
     if sort:
         shaped = shaped.sortWithinPartitions(*by, *sort)
+    measured = Observation()
+    if observed:
+        shaped = shaped.observe(measured, *[c.alias(n) for n, c in observed.items()])
     mode = "static" if full_refresh else "dynamic"
     (
         shaped.write.mode("overwrite")
@@ -46,6 +53,7 @@ def swap_partitions(
         .partitionBy(*by)
         .parquet(path)
     )
+    return measured.get if observed else {}
 
 
 def clear_partition(spark: SparkSession, path: str, **values: str) -> bool:

@@ -17,15 +17,22 @@ MONTH_IN_NAME = r"(\d{4}-\d{2})"
 FOOTER_SCHEMA = "path string, rows bigint, columns array<struct<name string, type string>>, sha256 string"
 
 
+class UnreadableFiles(ValueError):
+    """Some of the files to be read are not Parquet."""
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
-    """path and bytes of every file below `folder`; contents are pruned and never read."""
+    """path, bytes and time of change of every file below `folder`; contents are pruned and never read.
+
+    Files of no bytes at all are passed over, as every Spark source does.
+    """
     listed = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(folder)
     )
-    return listed.select("path", F.col("length").alias("bytes"))
+    return listed.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("changed"))
 
 
 def file_period(path: Column) -> Column:
@@ -44,12 +51,33 @@ def _open(path: str):
     return system.open_input_file(inner)
 
 
+def _footer(handle) -> bytes:
+    """The last bytes of a file, with its footer. An I/O error shows here, fails the task, and is retried."""
+    size = handle.size()
+    handle.seek(max(0, size - 8))
+    tail = handle.read()
+    if len(tail) < 8 or tail[4:] != b"PAR1":
+        return tail
+    length = min(size, int.from_bytes(tail[:4], "little") + 8)
+    handle.seek(size - length)
+    return handle.read()
+
+
+def _parsed(footer: bytes):
+    """Rows and fields; None when the bytes are no footer, whatever the parser makes of them."""
+    import pyarrow.parquet as pq
+
+    try:
+        found = pq.ParquetFile(pa.BufferReader(b"PAR1" + footer))
+        return found.metadata.num_rows, [{"name": f.name, "type": str(f.type)} for f in found.schema_arrow]
+    except Exception:  # noqa: BLE001 - from memory: only the bytes can be at fault
+        return None
+
+
 def _describe(with_digest: bool):
     """One output row per file: footer facts, and the digest streamed in 4 MiB pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.parquet as pq
-
         for batch in batches:
             rows = []
             for path in batch.column("path").to_pylist():
@@ -60,14 +88,7 @@ def _describe(with_digest: bool):
                         while piece := handle.read(1 << 22):
                             sha.update(piece)
                         digest = sha.hexdigest()
-                    try:
-                        footer = pq.ParquetFile(handle)
-                        fields = [
-                            {"name": f.name, "type": str(f.type)} for f in footer.schema_arrow
-                        ]
-                        rows.append((path, footer.metadata.num_rows, fields, digest))
-                    except pa.ArrowInvalid:  # not Parquet; an I/O error fails the task, and Spark retries
-                        rows.append((path, None, None, digest))
+                    rows.append((path, *(_parsed(_footer(handle)) or (None, None)), digest))
             names = ("path", "rows", "columns", "sha256")
             yield pa.RecordBatch.from_pylist(
                 [dict(zip(names, r, strict=True)) for r in rows],
@@ -132,6 +153,29 @@ def rows_by_year(files: DataFrame) -> DataFrame:
     )
 
 
+def stored_footers(spark: SparkSession, folder: str, store: str) -> DataFrame:
+    """Footer facts of all files below `folder`, read for new and changed files only.
+
+    `store` is a table of facts with each file's size and time of change; what it lacks is read and added.
+    """
+    from monthlake.sources import fs
+
+    found = list_files(spark, folder)
+    key = ["path", "bytes", "changed"]
+    if fs.exists(spark, f"{store}/_SUCCESS"):
+        missing = found.join(spark.read.parquet(store).select(*key), key, "left_anti")
+    else:
+        missing = found
+    fresh = footers(missing).join(missing, "path").select(*key, "rows", "columns")
+    fresh.write.mode("append").parquet(store)
+    return spark.read.parquet(store).join(found, key, "left_semi").dropDuplicates(["path"])
+
+
+def _name_pattern(parts: list[str]) -> str:
+    """A glob for files whose names hold one of the parts."""
+    return "*{" + ",".join(sorted(parts)) + "}*"
+
+
 def read_months(
     spark: SparkSession,
     folder: str,
@@ -139,23 +183,40 @@ def read_months(
     processed_at: datetime | Column,
     contract: Contract = TRIPS,
     files: DataFrame | None = None,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """Every month below `folder` in the contract's types, with the month taken from file names.
 
-    `files` (with a path column) narrows it to some of the folder's files.
+    `files` (with a path column) narrows it to some of the folder's files; `facts` are their footers, where they
+    are known (`stored_footers`).
 
     Types drift between files, so files are grouped by footer schema ("eras"): one scan and one
-    projection per era, however many months it spans. No schema merging.
+    projection per era, however many months it spans. No schema merging. An era is read by a pattern of
+    its months. The driver sees months and eras; it sees file names only of months whose files differ in schema, and
+    of files whose name has no month.
     """
+    if facts is None:
+        facts = footers(list_files(spark, folder) if files is None else files)
+    elif files is not None:
+        facts = facts.join(files.select("path"), "path", "left_semi")
+    named = facts.select(
+        "path", "columns", file_period(F.col("path")).alias("period"), F.regexp_extract("path", r"([^/]+)$", 1).alias("name")
+    )
+    bad = named.filter(F.col("columns").isNull()).select("path").orderBy("path").limit(20).collect()
+    if bad:
+        raise UnreadableFiles(f"unreadable source files: {[r.path for r in bad]}")
+    months = named.groupBy("period").agg(F.count_distinct(F.to_json("columns")).alias("eras"))
+    # A month of one schema is named by itself; one of several, file by file.
+    whole = F.col("period").rlike(f"^{MONTH_IN_NAME}$") & (F.col("eras") == 1)
+    part = F.when(whole, F.col("period")).otherwise(F.col("name"))
     eras = (
-        footers(list_files(spark, folder) if files is None else files)
+        named.join(months, "period")
+        .select("columns", part.alias("part"))
+        .distinct()
         .groupBy("columns")
-        .agg(F.collect_list("path").alias("paths"))
-        .collect()  # file names only, as the driver's own listing holds them
+        .agg(F.collect_list("part").alias("parts"))
+        .collect()  # months, and names of the files of mixed months
     )
-    unreadable = [p for e in eras if e.columns is None for p in e.paths]
-    if unreadable:
-        raise ValueError(f"unreadable source files: {sorted(unreadable)}")
     clock = processed_at if isinstance(processed_at, Column) else F.lit(processed_at)
     month = F.to_date(
         F.concat(F.regexp_extract("_metadata.file_name", MONTH_IN_NAME, 1), F.lit("-01"))
@@ -164,11 +225,12 @@ def read_months(
         contract.typed(
             spark.read.option("mergeSchema", "false")
             .option("recursiveFileLookup", "true")
-            .parquet(*sorted(era.paths)),
+            .option("pathGlobFilter", _name_pattern(era.parts))
+            .parquet(folder),
             month.alias("source_month"),
             clock.alias("processed_at"),
         )
-        for era in sorted(eras, key=lambda e: min(e.paths))
+        for era in sorted(eras, key=lambda e: min(e.parts))
     ]
     return reduce(DataFrame.unionByName, frames)
 

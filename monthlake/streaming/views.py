@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from monthlake.functions.columns import computed_once, whole_seconds
 from monthlake.functions.contract import FLAGS, TRIPS
 from monthlake.operators.rules import IDENTITY, first_failed, has_any_flag, row_flags, stream_rules
-from monthlake.operators.skew import group_total, slot_of
+from monthlake.operators.skew import DEFAULT_POLICY, HotPolicy, group_total, hot_keys, slot_of, split_hot
 from monthlake.plans.star import FACT_COLUMNS
 
+# Columns of the unified view, in order.
 UNIFIED_COLUMNS = (
     "trip_id", "pickup_partition_ts", "pickup_datetime", "dropoff_datetime", "pickup_date",
     "pickup_hour", "trip_duration_seconds", "vendor_id", "ratecode_id", "payment_type",
@@ -22,14 +24,11 @@ UNIFIED_COLUMNS = (
 def first_deliveries(deliveries: DataFrame) -> DataFrame:
     """The first delivery of each event by (publish_time, message_id).
 
-    A grouped minimum instead of a row number: repeats collapse before the shuffle, so an event
-    delivered a million times is one row per task.
+    A row number limited to the first: repeats of an event are dropped before the exchange, so one that was
+    delivered a million times sends a row from each task; and rows are sorted by the event alone, not by all columns.
     """
-    rest = [c for c in deliveries.columns if c != "event_id"]
-    order = F.struct("publish_time", "message_id")
-    first = F.min_by(F.struct(*rest), order)
-    picked = deliveries.groupBy("event_id").agg(first.alias("_first"))
-    return picked.select(*[F.col(f"_first.{c}") if c != "event_id" else c for c in deliveries.columns])
+    order = W.partitionBy("event_id").orderBy("publish_time", "message_id")
+    return deliveries.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth")
 
 
 def typed_events(first: DataFrame) -> DataFrame:
@@ -49,23 +48,30 @@ def typed_events(first: DataFrame) -> DataFrame:
     )
 
 
-def judged_events(deliveries: DataFrame) -> DataFrame:
+def ruled_events(deliveries: DataFrame) -> DataFrame:
+    """First deliveries, typed, with the first failed rule."""
+    return computed_once(typed_events(first_deliveries(deliveries)), "reject_reason", first_failed(stream_rules()))
+
+
+def judged_events(deliveries: DataFrame, policy: HotPolicy | None = DEFAULT_POLICY) -> DataFrame:
     """First deliveries with the first failed rule and the soft flags.
 
-    The near-duplicate count is a total over (identity, fare, kept or not), read back by slot, so
-    no trip identity can fill one task.
+    Near duplicates of ordinary trips are counted by one window over the trip's identity. Trips of more deliveries
+    than the policy allows, which are found by counting a sample, are counted by slots, so that no identity fills a task.
     """
-    typed = typed_events(first_deliveries(deliveries))
-    events = computed_once(typed, "reject_reason", first_failed(stream_rules()))
     kept = F.col("reject_reason").isNull()
-    keyed = events.withColumns(
-        {
-            "_twin": F.struct(*IDENTITY, "fare_amount", kept.alias("kept")),
-            "_slot": slot_of(F.md5("event_id")),
-        }
-    )
-    counted = group_total(keyed, "_twin", "_slot", F.lit(1), "_twins").drop("_twin", "_slot")
-    flags = {**row_flags(), "is_near_duplicate": kept & F.col("_twins").isNotNull()}
+    events = ruled_events(deliveries)
+    twin = [*IDENTITY, "fare_amount", kept]
+    hot = hot_keys(deliveries, IDENTITY, policy) if policy else None
+    if hot is None or hot.isEmpty():
+        counted = events.withColumn("_twins", F.count(F.lit(1)).over(W.partitionBy(*twin)))
+    else:
+        ordinary, heavy = split_hot(events, IDENTITY, hot)
+        keyed = heavy.withColumns({"_twin": F.struct(*twin[:-1], kept.alias("kept")), "_slot": slot_of(F.md5("event_id"))})
+        counted = ordinary.withColumn("_twins", F.count(F.lit(1)).over(W.partitionBy(*twin))).unionByName(
+            group_total(keyed, "_twin", "_slot", F.lit(1), "_twins").drop("_twin", "_slot")
+        )
+    flags = {**row_flags(), "is_near_duplicate": kept & F.coalesce(F.col("_twins") > 1, F.lit(False))}
     return (
         counted.withColumns(flags)
         .drop("_twins")
@@ -73,6 +79,16 @@ def judged_events(deliveries: DataFrame) -> DataFrame:
     )
 
 
+def published_within(deliveries: DataFrame, as_of: Column, span: str, repeats: str = "1 day") -> DataFrame:
+    """Deliveries that can decide on the events of the last `span` before `as_of`.
+
+    Bound by the table's publish_date, so only the files of these days are opened. An event whose first delivery
+    came more than `repeats` before the span counts as new when it is delivered again.
+    """
+    oldest = as_of - F.expr(f"interval {span}") - F.expr(f"interval {repeats}")
+    return deliveries.filter(F.col("publish_date") >= F.to_date(oldest)).drop("publish_date")
+
+
 def fact_live(judged: DataFrame) -> DataFrame:
     """Accepted events in the fact's shape; there is no source month, but a publish time."""
     columns = [c for c in FACT_COLUMNS if c != "source_month"]
