@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from monthlake.catalogue import fixture as fx
 from monthlake.catalogue.fixture import AS_OF, BATCH_UNTIL, STREAM_SQL
-from monthlake.catalogue.registry import number, query, text
+from monthlake.catalogue.registry import SQL, number, query, text
 from monthlake.functions.contract import FLAGS, TRIPS
 from monthlake.plans import reports, star
 from monthlake.session import shared_folder
@@ -360,6 +360,31 @@ def last_hour_from_days(spark, sf):
     return reports.live_last_hour(views.ruled_events(rows), _as_of()).drop("revenue")
 
 
+_COUNTS: dict[tuple[str, str], str] = {}
+
+
+def _counted(spark, sf) -> str:
+    """The table of counts by minute, kept by a stream of several batches; once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _COUNTS:
+        table, checkpoint = shared_folder(spark, "counts"), shared_folder(spark, "state")
+        changes = state.outcome_changes(_stream_of_deliveries(spark, sf), **ALL_TIMES)
+        state.start_counts(changes, table, checkpoint).awaitTermination()
+        _COUNTS[key] = table
+    return _COUNTS[key]
+
+
+@query("h06c_last_hour_from_counts", SQL["h06_live_last_hour"])
+def last_hour_from_counts(spark, sf):
+    """The last hour from counts that a stream keeps; no event is read."""
+    return state.last_hour(spark, _counted(spark, sf), _as_of())
+
+
+@query("h07c_quality_from_counts", SQL["h07_stream_quality"])
+def quality_from_counts(spark, sf):
+    return state.outcome_quality(spark, _counted(spark, sf), _as_of())
+
+
 @query(
     "h06s_minute_counts_stream",
     f"""{STREAM_SQL} select cast(date_trunc('minute', publish_time) as varchar) as minute,

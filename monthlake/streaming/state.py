@@ -1,6 +1,6 @@
 """Exact live views with bounded state: keyed processors with event-time timers.
 
-Both processors run in update mode and correct themselves: when an earlier delivery of an event comes
+The processors run in update mode and correct themselves: when an earlier delivery of an event comes
 after a later one, or a trip's twin after the trip, the row in question is sent again. So the sinks are
 tables of updates, one directory a batch, and a reader takes the last word on each event. The last word does not
 depend on how deliveries were dealt to batches.
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -26,6 +26,8 @@ from monthlake.streaming.views import first_deliveries, typed_events
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DAY_MS = 86_400_000
+DELIVERY = "delivery"  # the outcome under which every delivery counts
+COUNTS = "minute timestamp, outcome string, events bigint, amount decimal(25,2), publish_date date, batch_id int"
 
 
 class FirstDelivery(StatefulProcessor):
@@ -55,6 +57,41 @@ class FirstDelivery(StatefulProcessor):
         return iter(())
 
 
+class OutcomeCounts(StatefulProcessor):
+    """What each delivery changes in the counts by minute and outcome.
+
+    The first delivery of an event counts in its minute under its outcome; every delivery counts as one. When an earlier
+    one comes, what the later one gave is taken back. So sums of changes are right at any time.
+    """
+
+    def __init__(self, keep_ms: int):
+        self.keep_ms = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.least = handle.getValueState("least", "at bigint, message string, outcome string, amount decimal(15,2)")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        first = None
+        for r in rows:
+            yield Row(at=r._at, outcome=DELIVERY, events=1, amount=None)
+            if first is None or (r._at, r._message) < (first._at, first._message):
+                first = r
+        known = self.least.get() if self.least.exists() else None
+        if known is not None:
+            if tuple(known[:2]) <= (first._at, first._message):
+                return
+            self.handle.deleteTimer(known[0] // 1000 + self.keep_ms)
+            yield Row(at=known[0], outcome=known[2], events=-1, amount=None if known[3] is None else -known[3])
+        self.least.update((first._at, first._message, first._outcome, first.total_amount))
+        self.handle.registerTimer(first._at // 1000 + self.keep_ms)
+        yield Row(at=first._at, outcome=first._outcome, events=1, amount=first.total_amount)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.least.clear()
+        return iter(())
+
+
 class TwinFlag(StatefulProcessor):
     """Flags events that share a trip's identity and fare with another accepted event.
 
@@ -123,17 +160,91 @@ def twin_flags(deliveries: DataFrame, lateness: str = "1 hour", keep_days: float
     )
 
 
+def outcome_changes(deliveries: DataFrame, lateness: str = "1 hour", keep_days: float = 1.0) -> DataFrame:
+    """A stream of deliveries as changes at (microseconds), outcome (kept or the first failed rule), events, amount."""
+    typed = typed_events(_timed(deliveries, lateness))
+    judged = computed_once(typed, "reject_reason", first_failed(stream_rules()))
+    outcome = F.coalesce("reject_reason", F.lit("kept")).alias("_outcome")
+    amount = F.col("total_amount").cast("decimal(15,2)").alias("total_amount")
+    return (
+        judged.select("publish_time", "event_id", "_at", "_message", outcome, amount)
+        .groupBy("event_id")
+        .transformWithState(
+            OutcomeCounts(int(keep_days * DAY_MS)),
+            "at bigint, outcome string, events bigint, amount decimal(15,2)",
+            "Update",
+            "EventTime",
+        )
+    )
+
+
+def start_counts(changes: DataFrame, table: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Keep table/publish_date=d/batch_id=n: changes summed by minute and outcome, some rows a batch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        minute = F.date_trunc("minute", F.timestamp_micros("at"))
+        summed = batch.groupBy(minute.alias("minute"), "outcome").agg(
+            F.sum("events").alias("events"), F.sum("amount").alias("amount")
+        )
+        (
+            summed.filter((F.col("events") != 0) | (F.col("amount") != 0))
+            .withColumns({"publish_date": F.to_date("minute"), "batch_id": F.lit(batch_id)})
+            .coalesce(1)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("publish_date", "batch_id")
+            .parquet(table)
+        )
+
+    return _start(changes, write, checkpoint, trigger)
+
+
+def minute_table(spark: SparkSession, table: str, since: Column) -> DataFrame:
+    """minute, outcome, events, amount from `since` on; only the files of these days are opened."""
+    rows = spark.read.schema(COUNTS).parquet(table) if fs.child_dirs(spark, table) else spark.createDataFrame([], COUNTS)
+    recent = rows.filter((F.col("publish_date") >= F.to_date(since)) & (F.col("minute") >= since))
+    return recent.groupBy("minute", "outcome").agg(F.sum("events").alias("events"), F.sum("amount").alias("amount"))
+
+
+def last_hour(spark: SparkSession, table: str, as_of: Column, minutes: int = 60) -> DataFrame:
+    """Accepted and rejected events by minute; whole minutes, so `as_of` is taken down to one."""
+    rows = minute_table(spark, table, F.date_trunc("minute", as_of) - F.expr(f"interval {minutes} minutes"))
+    kept = F.col("outcome") == "kept"
+    counted = rows.filter(F.col("outcome") != DELIVERY).groupBy("minute")
+    return counted.agg(
+        F.coalesce(F.sum(F.when(kept, F.col("events"))), F.lit(0)).alias("trips"),
+        F.coalesce(F.sum(F.when(~kept, F.col("events"))), F.lit(0)).alias("rejected"),
+        F.coalesce(F.sum(F.when(kept, F.col("amount"))), F.lit(0)).alias("revenue"),
+    ).filter("trips != 0 or rejected != 0")
+
+
+def outcome_quality(spark: SparkSession, table: str, as_of: Column, hours: int = 24) -> DataFrame:
+    """Every delivery of the last hours by outcome; what events do not account for are duplicate deliveries."""
+    rows = minute_table(spark, table, F.date_trunc("minute", as_of) - F.expr(f"interval {hours} hours"))
+    totals = rows.groupBy("outcome").agg(F.sum("events").alias("events"))
+    every = F.col("outcome") == DELIVERY
+    repeats = totals.agg(
+        F.lit("duplicate_delivery").alias("outcome"),
+        F.coalesce(F.sum(F.when(every, F.col("events")).otherwise(-F.col("events"))), F.lit(0)).alias("events"),
+    )
+    return totals.filter(~every & (F.col("events") != 0)).unionByName(repeats)
+
+
 def start_updates(updates: DataFrame, table: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Write a stream of updates as table/batch_id=n; a batch that runs again replaces its own rows."""
-    spark = updates.sparkSession
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
 
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    return _start(updates, write, checkpoint, trigger)
+
+
+def _start(updates: DataFrame, write, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """A query takes its settings when it starts; the session keeps its own."""
+    spark, key = updates.sparkSession, "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, PROVIDER)
     try:
-        # The query takes its settings when it starts; the session keeps its own.
         return (
             updates.writeStream.outputMode("update")
             .foreachBatch(write)
@@ -142,7 +253,7 @@ def start_updates(updates: DataFrame, table: str, checkpoint: str, **trigger) ->
             .start()
         )
     finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+        spark.conf.set(key, before)
 
 
 def _updates(spark: SparkSession, table: str, schema: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from test_stream import deliveries, wire
 from trips import trip
 
+from monthlake.plans import reports
 from monthlake.streaming import compaction, ingest, state, views
 
 ORDER = ["18:00:05", "18:00:01", "18:01:00", "18:01:30", "16:00:00", "18:00:03", "17:59:59"]
@@ -55,6 +56,36 @@ def test_last_words_do_not_depend_on_batches(spark, seven, tmp_path, seed):
     assert {r.event_id: r.is_near_duplicate for r in live.collect()} == want
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_kept_counts_equal_the_reports(spark, seven, tmp_path, seed):
+    """Minutes and outcomes summed from changes, whatever the batches, and only the days asked for are opened."""
+    names = [f"m{i}" for i in range(7)]
+    random.Random(seed).shuffle(names)
+    stream = stream_of(spark, seven, tmp_path, [names[:2], names[2:3], names[3:6], names[6:]])
+    table = str(tmp_path / "counts")
+    changes = state.outcome_changes(stream, lateness="1 day")
+    state.start_counts(changes, table, str(tmp_path / "cc")).awaitTermination()
+    as_of = F.lit("2024-06-14 18:30:00").cast("timestamp")
+    events = views.judged_events(seven, None)
+    want = sorted(map(tuple, reports.live_last_hour(events, as_of).collect()))
+    assert sorted(map(tuple, state.last_hour(spark, table, as_of).collect())) == want and len(want) == 3
+    want = sorted(map(tuple, reports.stream_quality(seven, events, as_of).collect()))
+    assert sorted(map(tuple, state.outcome_quality(spark, table, as_of).collect())) == want
+    for back in range(1, 30):
+        day = date(2024, 6, 14) - timedelta(days=back)
+        old = spark.read.parquet(table).withColumn("publish_date", F.lit(day)).withColumn("minute", F.col("minute") - F.expr(f"interval {back} days"))
+        old.coalesce(1).write.mode("append").partitionBy("publish_date", "batch_id").parquet(str(tmp_path / "more"))
+    rows = state.minute_table(spark, str(tmp_path / "more"), as_of - F.expr("interval 25 hours"))
+    assert {str(r.minute)[:10] for r in rows.collect()} == {"2024-06-13"}
+    assert "PartitionFilters: [isnotnull(publish_date" in rows._jdf.queryExecution().toString()
+
+
+def test_no_counts_yet(spark, tmp_path):
+    as_of = F.lit("2024-06-14 18:30:00").cast("timestamp")
+    assert state.last_hour(spark, str(tmp_path / "none"), as_of).collect() == []
+    assert [tuple(r) for r in state.outcome_quality(spark, str(tmp_path / "none"), as_of).collect()] == [("duplicate_delivery", 0)]
+
+
 def test_the_earliest_of_one_batch_wins(spark, seven, tmp_path):
     stream = stream_of(spark, seven, tmp_path, [["m0", "m1", "m5"]])
     assert run_first(spark, stream, seven, tmp_path, lateness="1 day") == ["m1"]
