@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from monthlake.catalogue import fixture as fx
+from monthlake.catalogue import q_checks, q_rules  # noqa: F401 - their SQL is used here
 from monthlake.catalogue.fixture import JUDGED_SQL, RAW_SQL, TRIPS_SQL
 from monthlake.catalogue.q_lake import built_lake
 from monthlake.catalogue.q_profile import SPEED
-from monthlake.catalogue.registry import query
+from monthlake.catalogue.registry import SQL, query
 from monthlake.functions.contract import TRIPS, check_schema
 from monthlake.functions.months import Month
-from monthlake.operators import sketches
+from monthlake.operators import checks, sketches
+from monthlake.operators.classify import classify, store_by_identity
 from monthlake.plans import batch, star
 from monthlake.session import shared_folder
 from monthlake.sources import lake, raw
@@ -236,3 +239,30 @@ def speed_quantiles_by_range(spark, sf):
     some = trips.filter(lake.within(F.col("source_month"), first, last))
     told = sketches.rank_errors(some, found)
     return told.select("measure", "point", "n", (F.col("rank_error") <= sketches.RANK_ERROR).alias("within"))
+
+
+def bucketed_trips(spark, sf):
+    """Every typed trip in a table bucketed by identity."""
+    name, path = f"trips_{uuid.uuid4().hex[:12]}", shared_folder(spark, "bucketed")
+    store_by_identity(fx.typed_trips(spark, sf), name, path, buckets=8)
+    return spark.table(name)
+
+
+@query("c17b_copy_rank_bucketed", SQL["c17_copy_rank"])
+def copy_rank_bucketed(spark, sf):
+    """Copies ranked where they lie: trips are judged again without an exchange."""
+    judged = classify(bucketed_trips(spark, sf), co_located=True)
+    by_id = judged.groupBy("trip_id").agg(
+        F.count_if(F.col("reject_reason").isNull()).alias("kept"),
+        F.count_if(F.col("reject_reason") == "duplicate_row").alias("copies"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    return by_id.filter("_n > 1").drop("_n")
+
+
+@query("j07b_fact_matches_bucketed", SQL["j07_fact_matches"])
+def fact_matches_bucketed(spark, sf):
+    """The fact against staging, both from trips judged where they lie; nothing differs."""
+    judged = classify(bucketed_trips(spark, sf), co_located=True).filter(F.col("reject_reason").isNull())
+    staged = star.stage_trips(judged.select(*[n for n, _ in TRIPS.curated_schema()]))
+    return checks.fact_matches_staging(star.fact_trips(staged), staged)

@@ -50,16 +50,18 @@ def classify(
     *,
     limits: Limits = Limits(),
     policy: HotPolicy | None = DEFAULT_POLICY,
+    co_located: bool = False,
 ) -> DataFrame:
     """`typed` holds the contract's columns plus source_month and processed_at, before fills.
 
     Returns core columns, flags and reasons. `policy=None` skips the look for hot identities.
+    `co_located`: the rows come from a table bucketed by identity (`store_by_identity`), and are judged where they lie.
     """
     hot = hot_keys(typed, IDENTITY, policy) if policy else None
     if hot is None or hot.isEmpty():
-        return _by_windows(typed, limits)
+        return _by_windows(typed, limits, co_located)
     ordinary, crowded = split_hot(typed, IDENTITY, hot)
-    return _by_windows(ordinary, limits).unionByName(_by_counts(crowded, limits))
+    return _by_windows(ordinary, limits, co_located).unionByName(_by_counts(crowded, limits))
 
 
 def _signed(trips: DataFrame) -> DataFrame:
@@ -76,11 +78,27 @@ def _result(judged: DataFrame) -> DataFrame:
     return judged.select(*core, *FLAGS, *REASONS)
 
 
-def _by_windows(typed: DataFrame, limits: Limits) -> DataFrame:
+def store_by_identity(typed: DataFrame, table: str, path: str, buckets: int) -> None:
+    """Write typed rows as a table bucketed and sorted by trip identity, one file a bucket.
+
+    One exchange here; rows that are judged again under other limits, or by other rules, need none. `buckets` is chosen
+    so that one fits a task: some 128 MB each.
+    """
+    (
+        typed.repartition(buckets, *IDENTITY)
+        .write.mode("overwrite")
+        .bucketBy(buckets, *IDENTITY)
+        .sortBy(*IDENTITY)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+
+
+def _by_windows(typed: DataFrame, limits: Limits, co_located: bool = False) -> DataFrame:
     # Exchange first, then fingerprint and fill: the 32-byte id is not shuffled. The month stays
     # out of the hash: in a single-month job it is a constant, which the optimizer drops from the
     # windows but not from the exchange, and they would no longer fit together.
-    rows = _signed(TRIPS.identified(typed.repartition(*IDENTITY)))
+    rows = _signed(TRIPS.identified(typed if co_located else typed.repartition(*IDENTITY)))
     side = Window.partitionBy(*SIGNATURE, "_negative").orderBy("trip_id")
     both = Window.partitionBy(*SIGNATURE)
     ranked = (
