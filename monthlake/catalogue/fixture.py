@@ -16,7 +16,7 @@ from monthlake.operators.rules import REQUIRED
 from monthlake.plans.star import calendar, fact_trips, stage_trips
 from monthlake.session import configure
 from monthlake.streaming.ingest import DELIVERED
-from monthlake.streaming.wire import wire_event
+from monthlake.streaming.wire import CARRIED, wire_event
 
 PROCESSED_AT = "2002-01-01 00:00:00"
 BATCH_UNTIL = "2001-09-01"
@@ -173,6 +173,8 @@ def _delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "event_ts": F.col("publish_time"),
             "message_id": F.concat_ws("-", "event_id", F.col("_branch").cast("string")),
+            "subscription_name": F.lit("live-trips"),
+            "attributes": F.to_json(F.struct(F.col("_branch").cast("string").alias("branch"))),
         }
     )
 
@@ -194,7 +196,7 @@ def envelopes(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFra
             .when((h % 79 == 0) & (h % 11 != 0), bare)
             .otherwise(data)
         )
-    return trips.select("message_id", "publish_time", data.alias("data"))
+    return trips.select("message_id", "publish_time", data.alias("data"), *CARRIED)
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,6 +137,22 @@ def dead_letter(spark, sf):
     return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "a21e_envelope",
+    f"""{STREAM_SQL} select case when h % 71 = 0 or h % 73 = 0 or (h % 79 = 0 and h % 11 != 0) then 'refused' else 'delivered' end as outcome,
+      'live-trips' as subscription_name, '{{"branch":"' || branch || '"}}' as attributes, count(*) as n
+    from trips group by all""",
+)
+def envelope(spark, sf):
+    """What the broker adds travels with delivered and refused events alike."""
+    table = _ingested(spark, sf, faults=True)
+    both = [
+        rows.select(F.lit(name).alias("outcome"), "subscription_name", "attributes")
+        for name, rows in (("delivered", ingest.delivered(spark, table)), ("refused", ingest.refused(spark, table)))
+    ]
+    return both[0].unionByName(both[1]).groupBy("outcome", "subscription_name", "attributes").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "i01_first_delivery",
     f"""{STREAM_SQL} select event_id, message_id, cast(publish_time as varchar) as publish_time

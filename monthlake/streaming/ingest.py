@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from monthlake.sources import fs
-from monthlake.streaming.wire import ENVELOPE, FIELDS, decode
+from monthlake.streaming.wire import CARRIED, ENVELOPE, FIELDS, decode
 
 OUTCOMES = ("delivered", "refused")
-DELIVERED = ["message_id", "publish_time", *[n for n, _, _ in FIELDS]]
+DELIVERED = ["message_id", "publish_time", *[n for n, _, _ in FIELDS], *CARRIED]
 
 
 def json_source(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """Envelopes (message_id, publish_time, data) as JSON files; a fixed schema, never inferred."""
+    """Envelopes as JSON files; a fixed schema, never inferred."""
     return (
         spark.readStream.schema(ENVELOPE)
         .option("maxFilesPerTrigger", files_per_batch)
@@ -36,12 +36,15 @@ def kafka_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
+        .option("includeHeaders", "true")
         .load()
     )
     return raw.select(
         F.concat_ws("-", F.col("topic"), F.col("partition"), F.col("offset")).alias("message_id"),
         F.col("timestamp").alias("publish_time"),
         F.col("value").cast("string").alias("data"),
+        F.col("topic").alias("subscription_name"),
+        F.to_json(F.map_from_entries(F.transform("headers", lambda h: F.struct(h["key"], h["value"].cast("string"))))).alias("attributes"),
     )
 
 
@@ -110,6 +113,6 @@ def refused(spark: SparkSession, table: str) -> DataFrame:
     rows = _outcome(spark, table, "refused")
     if rows is None:
         return spark.createDataFrame(
-            [], "message_id string, publish_time timestamp, data string, contract_error string"
+            [], f"{ENVELOPE}, contract_error string"
         )
-    return rows.select("message_id", "publish_time", "data", "contract_error")
+    return rows.select("message_id", "publish_time", "data", *CARRIED, "contract_error")

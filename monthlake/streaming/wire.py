@@ -38,7 +38,9 @@ MONEY_FIELDS = [n for n, _, _ in FIELDS if n.endswith(("_amount", "_fee", "_surc
 WALL_CLOCK_FIELDS = ("pickup_datetime", "dropoff_datetime")
 WALL_CLOCK = "yyyy-MM-dd HH:mm:ss"
 SPARK_TYPE = {"long": "bigint", "string": "string", "double": "double"}
-ENVELOPE = "message_id string, publish_time timestamp, data string"
+#: What the broker adds to an event. The last two are carried along and never judged.
+ENVELOPE = "message_id string, publish_time timestamp, data string, subscription_name string, attributes string"
+CARRIED = ("subscription_name", "attributes")
 
 
 def wire_schema() -> str:
@@ -83,7 +85,10 @@ def decode(deliveries: DataFrame) -> DataFrame:
     Adds typed columns and `contract_error`: NULL for a valid event, else what is wrong. Works on
     batch and streaming frames. `_broken` holds text that is no JSON or has a value of another type
     than the field's.
+    Envelope columns that a source lacks are NULL.
     """
+    bare = [c for c in CARRIED if c not in deliveries.columns]
+    deliveries = deliveries.withColumns({c: F.lit(None).cast("string") for c in bare}) if bare else deliveries
     event = F.from_json(
         "data", wire_schema(), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
     )
