@@ -11,7 +11,8 @@
 
 Defined cases: null or empty text is a document of one token (the end token); repeated rows are
 packed one by one; an empty table gives an empty result; extra columns are dropped. `doc_id` is
-carried as it is, null included.
+carried as it is, null included. The patterns listed (`near`) and the sweeps of the fit (`SWEEPS`) bound the plan
+only: what they leave is packed by best fit.
 """
 
 from __future__ import annotations
@@ -39,9 +40,13 @@ END_ID = 1
 SALT_ROWS = 50_000
 CHUNK_BYTES = 8 << 20
 SWEEPS = 60
+WORDS = 500_000  # of a worker's table
 # A run of marks between a letter or digit and white space is a word of its own to the tokenizer;
-# set apart here, so that fewer distinct words remain.
-_TAIL = r"([\pL\pN])([.,;:!?$%&*#]+)([ \t\n\r\f\v]|$)"
+# set apart here, so that fewer distinct words remain. Only behind letters that the tokenizer's
+# normalising leaves letters: others, such as the capital dotted I or some letters of India, turn into a letter
+# and a combining mark, which runs on into the marks behind it.
+_PLAIN = r"a-zA-Z0-9\x{00C0}-\x{00D6}\x{00D8}-\x{00F6}\x{00F8}-\x{012F}\x{0131}-\x{0148}\x{014A}-\x{017E}\x{0410}-\x{044F}"
+_TAIL = rf"([{_PLAIN}])([.,;:!?$%&*#]+)([ \t\n\r\f\v]|$)"
 
 
 @lru_cache(maxsize=2)
@@ -52,15 +57,50 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=1)
+def _table(path: str) -> WordTable:
+    """One for each worker process; it outlives a task."""
+    return WordTable(_tokenizer(path))
+
+
 def _ids(tokenizer, texts: list[str]) -> list[list[int]]:
     return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def tokenise(texts: pa.Array, tokenizer) -> list[np.ndarray]:
+class WordTable:
+    """Ids of the words a worker has met, in one flat array; emptied when it holds `WORDS`, so that
+    its memory is bounded. Only words that are not in it are encoded."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.flat = np.empty(0, np.uint32)
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """The number of each word (no word twice) in the table."""
+        if len(self.place) + len(words) > WORDS:
+            self.clear()
+        new = [w for w in words if w not in self.place]
+        if new:
+            ids = _ids(self.tokenizer, new)
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            ends = np.cumsum(sizes) + len(self.flat)
+            for w in new:
+                self.place[w] = len(self.place)
+            self.starts, self.sizes = np.append(self.starts, ends - sizes), np.append(self.sizes, sizes)
+            self.flat = np.append(self.flat, np.fromiter((i for w in ids for i in w), np.uint32, int(sizes.sum())))
+        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+
+
+def tokenise(texts: pa.Array, table: WordTable) -> list[np.ndarray]:
     """Ids of each text, as the tokenizer gives them for the whole text.
 
-    White space always ends a word of this tokenizer, so each distinct word of the batch is encoded
-    once. Lower-casing A-Z first changes nothing, but for texts with "<|", which might spell a
+    White space always ends a word of this tokenizer, so each different word is encoded once.
+    Lower-casing A-Z first changes nothing, but for texts with "<|", which might spell a
     special token; those are encoded whole.
     """
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -68,18 +108,15 @@ def tokenise(texts: pa.Array, tokenizer) -> list[np.ndarray]:
     body = pc.if_else(pa.array(whole), pa.scalar("", pa.large_string()), texts)
     lists = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(body), _TAIL, r"\1 \2\3"))
     coded = lists.flatten().dictionary_encode()
-    words = _ids(tokenizer, coded.dictionary.to_pylist())
-    lens = np.fromiter(map(len, words), np.int64, len(words))
-    flat = np.fromiter((i for w in words for i in w), np.uint32, int(lens.sum()))
-    starts = np.cumsum(lens) - lens
-    index = coded.indices.to_numpy(zero_copy_only=False)
-    n = lens[index]
+    place = table.places(coded.dictionary.to_pylist())
+    index = place[coded.indices.to_numpy(zero_copy_only=False)]
+    n = table.sizes[index]
     ends = np.cumsum(n)
-    ids = flat[np.repeat(starts[index] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+    ids = table.flat[np.repeat(table.starts[index] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
     bounds = np.concatenate([[0], ends])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
     out = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     for i in np.flatnonzero(whole):
-        out[i] = np.array(_ids(tokenizer, [texts[int(i)].as_py()])[0], np.uint32)
+        out[i] = np.array(_ids(table.tokenizer, [texts[int(i)].as_py()])[0], np.uint32)
     return out
 
 
@@ -104,10 +141,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(tokenizer_path)
+        table = _table(tokenizer_path)
         for batch in (c for b in batches for c in _chunks(b)):
             row, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(tokenise(batch["text"], tokenizer)):
+            for i, ids in enumerate(tokenise(batch["text"], table)):
                 ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                 for k, a in enumerate(range(0, len(ids), capacity)):
                     part = ids[a : a + capacity]
