@@ -136,6 +136,81 @@ def fit_rows(x: np.ndarray, y: np.ndarray, names: list[str]) -> Model:
     return Model(tuple(names), tuple(map(float, w / scale)), tuple(map(float, mean)), float(threshold))
 
 
+def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
+    """Fit on at most max_labelled labelled documents of the learn fold, the first by hash of the id.
+
+    Only labels whose hash is below a share taken from their count are sorted, about as many as wanted. Of
+    several texts of a labelled id the one of the smallest hash is learnt.
+    """
+    marks = labels.select("doc_id", F.col("quality").cast("int").alias("_y"), F.xxhash64("doc_id").alias("_hash")).filter(
+        F.col("_y").isin(0, 1) & F.col("doc_id").isNotNull() & ~tx.held_out(F.col("doc_id"))
+    )
+    n = marks.agg(F.approx_count_distinct("_hash", 0.02)).first()[0]
+    # xxhash64 is even over all longs; a fifth more than wanted covers the error of the count.
+    share = (F.col("_hash") / float(1 << 63) + 1) / 2
+    sample = (
+        marks.filter(share * n < 1.2 * max_labelled)
+        .groupBy("_hash", "doc_id")
+        .agg(F.max("_y").alias("_y"))
+        .orderBy("_hash", "doc_id")
+        .limit(max_labelled)
+    )
+    marked = docs.select("doc_id", "text").join(F.broadcast(sample.drop("_hash")), "doc_id")  # at most max_labelled rows
+    featured, names = features(marked)
+    one = F.min_by(F.struct(F.col("_row._y").alias("_y"), *names), F.xxhash64("_row.text"))
+    rows = featured.groupBy(F.col("_row.doc_id").alias("doc_id")).agg(one.alias("_f")).select("doc_id", "_f.*").toPandas()
+    rows = rows.sort_values(["doc_id", *names], kind="stable")
+    return fit_rows(rows[names].to_numpy(float), rows["_y"].to_numpy(), names)
+
+
+def score(self) -> Column:
+        """The chance that the text beats one that lies on the decision point."""
+        terms = [(F.col(n) - m) * w for n, w, m in zip(self.names, self.weights, self.means, strict=True)]
+        total = reduce(lambda a, b: a + b, terms, F.lit(-self.threshold))
+        return 1.0 / (1.0 + F.exp(-F.greatest(F.least(total, F.lit(500.0)), F.lit(-500.0))))
+
+
+def pairs(good: np.ndarray, bad: np.ndarray, per_row: int = PAIRS_PER_ROW) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of preference pairs: every row takes part `per_row` times at least."""
+    n = per_row * max(len(good), len(bad))
+    k = np.arange(n)
+    return good[k % len(good)], bad[(k * 7919 + k // len(good)) % len(bad)]
+
+
+def bradley_terry(diff: np.ndarray, l2: float = L2, steps: int = STEPS) -> np.ndarray:
+    """argmin of the mean of log(1 + exp(-diff . w)) + l2/2 |w|^2, by damped Newton steps."""
+    w = np.zeros(diff.shape[1])
+
+    def loss(v):
+        return np.logaddexp(0, -(diff @ v)).mean() + l2 / 2 * v @ v
+
+    for _ in range(steps):
+        lose = 1 / (1 + np.exp(np.clip(diff @ w, -500, 500)))
+        grad = -(diff.T @ lose) / len(diff) + l2 * w
+        hess = (diff.T * (lose * (1 - lose))) @ diff / len(diff) + l2 * np.eye(len(w))
+        step, t = np.linalg.solve(hess, grad), 1.0
+        while loss(w - t * step) > loss(w) and t > 1e-4:
+            t /= 2
+        w = w - t * step
+        if np.abs(t * step).max() < 1e-8:
+            break
+    return w
+
+
+def fit_rows(x: np.ndarray, y: np.ndarray, names: list[str]) -> Model:
+    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    if not len(good) or not len(bad):
+        return Model(tuple(names), (0.0,) * len(names), (0.0,) * len(names), 0.0)
+    mean, scale = x.mean(0), np.where(x.std(0) > 1e-9, x.std(0), 1.0)
+    z = (x - mean) / scale
+    a, b = pairs(good, bad)
+    w = bradley_terry(z[a] - z[b])
+    s = np.sort(z @ w)
+    cut = len(bad)  # so many rows should lie below the decision point
+    threshold = (s[cut - 1] + s[min(cut, len(s) - 1)]) / 2
+    return Model(tuple(names), tuple(map(float, w / scale)), tuple(map(float, mean)), float(threshold))
+
+
 def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
     """Fit on at most max_labelled labelled documents of the learn fold, the first by hash of the id."""
     sample = (
