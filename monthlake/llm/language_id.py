@@ -6,7 +6,7 @@ landmarks give it a finite map, one-versus-rest ridge regression a score for eac
 score of a text is linear in its presence vector, so landmarks, map and regression fold into one
 matrix (places x languages), and a batch of texts is scored by one matrix product.
 
-The fit sees at most `per_lang` texts of each language, the first by hash of the id in the learn
+The fit sees at most `per_lang` texts of each language, the first by hash of id and text in the learn
 fold, as presence bits (4 KB each). Scoring is one Arrow pass over whole texts, without shuffle.
 
 Defined cases: null text, or text without a letter, is `und` with score 0; a text whose letters
@@ -25,6 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from monthlake.llm import text as tx
+from monthlake.plans.joins import dimension
 
 GRAMS = (2, 3, 4)
 PLACES = 1 << 15
@@ -79,16 +80,17 @@ def fit(bits: np.ndarray, langs: np.ndarray, landmarks: int = LANDMARKS, ridge:
 
 
 def sample_bits(docs: DataFrame, per_lang: int = PER_LANG) -> pd.DataFrame:
-    """lang and presence bits of the first per_lang rows of each language, by hash of the id."""
-    first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~tx.held_out(F.col("doc_id")))
-        .select("doc_id", "lang")
-        .withColumn("_k", F.row_number().over(first))
-        .filter(F.col("_k") <= per_lang)
-        .select("doc_id", "_k")
-        .distinct()
-    )
+    """lang, _hash and presence bits of the first per_lang different rows of each language, by hash of id and text.
+
+    Rows whose hash is below a share taken from counts go on: about twice as many as wanted, however many there are.
+    Rows that repeat are dropped where they lie, so no copy reaches a window or the driver twice.
+    """
+    rows = docs.filter(
+        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~tx.held_out(F.col("doc_id"))
+    ).select("lang", "text", F.xxhash64("doc_id", "text").alias("_hash"))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("_hash", 0.05).alias("_n"))
+    share = F.shiftrightunsigned("_hash", 11) / float(1 << 53)
+    near = rows.join(dimension(counts), "lang").filter(share * F.col("_n") < 2.0 * per_lang)
 
     def bits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -97,19 +99,20 @@ def sample_bits(docs: DataFrame, per_lang: int = PER_LANG) -> pd.DataFrame:
                 row = np.zeros(PLACES, dtype=bool)
                 presence(text, row)
                 packed.append(np.packbits(row).tobytes())
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "lang": frame["lang"], "bits": packed})
+            yield pd.DataFrame({"lang": frame["lang"], "_hash": frame["_hash"], "bits": packed})
 
-    # At most per_lang rows of each language are joined, so the side is small by construction.
-    texts = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).join(F.broadcast(chosen.select("doc_id")), "doc_id")
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, bits binary"
-    return texts.select("doc_id", "lang", "text").mapInPandas(bits, schema).toPandas()
+    made = near.select("lang", "_hash", "text").mapInPandas(bits, "lang string, _hash long, bits binary")
+    different = made.groupBy("lang", "_hash").agg(F.any_value("bits").alias("bits"))
+    first = W.partitionBy("lang").orderBy("_hash")
+    chosen = different.withColumn("_k", F.row_number().over(first)).filter(F.col("_k") <= per_lang).drop("_k")
+    return chosen.toPandas()
 
 
 def learn(docs: DataFrame, per_lang: int = PER_LANG, landmarks: int = LANDMARKS):
     rows = sample_bits(docs, per_lang)
     if rows.empty:
         return [], np.zeros((PLACES, 0), np.float32)
-    rows = rows.sort_values(["lang", "doc_id", "bits"], kind="stable")
+    rows = rows.sort_values(["lang", "_hash"], kind="stable")
     bits = np.unpackbits(np.frombuffer(b"".join(rows["bits"]), np.uint8).reshape(len(rows), -1), axis=1)
     return fit(bits, rows["lang"].to_numpy(str), landmarks)
 
