@@ -3,7 +3,8 @@
 A template is words with two kinds of markup: `[[ ... ]]` may be left out, `{{a..b}}` stands for a
 to b words of any kind. Everything else is mandatory wording, and a text is accepted where it holds
 all of it, word by word. Each template becomes a small automaton over words, run only from places
-whose word can start it, and only in texts that hold its key word.
+whose word can start it, and only in texts that hold its key words. Templates are whole licenses and
+notices (license_templates), and short notices.
 
 Templates and phrases are parameters of bounded size; the work is one Arrow pass over whole texts,
 with no shuffle. Words are runs of letters and digits (after A-Z is lower-cased) and of everything
@@ -26,7 +27,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from monthlake.llm import text as tx
+from monthlake.llm.license_templates import TEXTS
 
+KEYS = 4  # longest words of a template, all of which a text must hold before places are tried
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 PHRASES = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
@@ -40,7 +43,7 @@ TEMPLATES = {
     "cc-by-nc": ["licensed under [[a|the]] cc by nc [[{{1..1}} 0]]"],
     "bsd": ["redistribution and use in source and binary forms with or without modification are permitted"],
     "copyright": ["copyright [[c]] {{1..8}} all rights reserved"],
-}
+} | TEXTS
 
 _TOKEN = re.compile(r"\[\[|\]\]|\{\{\d+\.\.\d+\}\}|\||[^\s\[\]{}|]+")
 
@@ -53,7 +56,7 @@ class Automaton:
     any_word: tuple[tuple[int, ...], ...]
     skip: tuple[tuple[int, ...], ...]
     end: int
-    key: bytes
+    keys: tuple[bytes, ...]
 
     def closed(self, states) -> frozenset[int]:
         found, todo = set(), list(states)
@@ -118,7 +121,7 @@ def compile_template(template: str) -> Automaton:
             if opened is None:
                 mandatory.append(word)
             here = nxt
-    return Automaton(tuple(step), tuple(any_word), tuple(skip), here, max(mandatory, key=len))
+    return Automaton(tuple(step), tuple(any_word), tuple(skip), here, tuple(sorted(set(mandatory), key=len)[-KEYS:]))
 
 
 @lru_cache(maxsize=8)
@@ -144,7 +147,7 @@ def scan_text(text: str | None, machines, phrases):
                 base.add(label)
                 places += at
     for label, machine, starts in machines:
-        if label not in found and machine.key in raw:
+        if label not in found and all(k in raw for k in machine.keys):
             if any(w in starts and machine.match(words, i) >= 0 for i, w in enumerate(words)):
                 found.add(label)
     return len(words), places, base, found
@@ -180,6 +183,26 @@ def op9_license_scan(spark, sf_dir: str):
     return docs.select("doc_id", scan(F.col("text")).alias("_s")).select("doc_id", "_s.*")
 
 
+def template_regex(template: str) -> str:
+    """The same template as a regular expression over words that are each followed by a blank."""
+    out = []
+    for token in _TOKEN.findall(template):
+        if token.startswith("{{"):
+            low, high = token[2:-2].split("..")
+            out.append(f"(?:[^ ]+ ){{{low},{high}}}")
+        else:
+            out.append({"[[": "(?:", "|": "|", "]]": ")?"}.get(token, f"{token.lower()} "))
+    return " " + "".join(out)
+
+
+def _own_sql(templates: dict) -> str:
+    cases = []
+    for label, own in templates.items():
+        test = " or ".join(f"regexp_matches(t, '{template_regex(t)}')" for t in own)
+        cases.append(f"case when {test} then '{label}' end")
+    return ",\n      ".join(cases)
+
+
 OP9_SQL = r"""
 with d as (
   select doc_id, regexp_extract_all(
@@ -199,14 +222,7 @@ b as (
     list_filter([case when len(cc) > 0 then 'cc-by' end, case when len(gpl) > 0 then 'gpl' end,
                  case when len(arr) > 0 then 'reserved' end], lambda x: x is not null) as base,
     list_filter([
-      case when regexp_matches(t, ' under the (?:terms of the )?mit license | permission is hereby granted free of charge to any person obtaining a copy of this [^ ]+ ') then 'mit' end,
-      case when regexp_matches(t, ' licensed under the apache license (?:version )?2 0 ') then 'apache-2.0' end,
-      case when contains(t, ' licensed under the gnu general public license ') then 'gpl-notice' end,
-      case when contains(t, ' under the terms of the gnu general public license as published by the free software foundation ') then 'gpl-later' end,
-      case when regexp_matches(t, ' licensed under (?:a |the )?cc by nc ') then 'cc-by-nc' end,
-      case when contains(t, ' redistribution and use in source and binary forms with or without modification are permitted ') then 'bsd' end,
-      case when regexp_matches(t, ' copyright (?:[^ ]+ ){1,9}all rights reserved ') and
-                regexp_matches(t, ' copyright (?:c )?(?:[^ ]+ ){1,8}all rights reserved ') then 'copyright' end],
+      OWN],
       lambda x: x is not null) as own
   from p)
 select doc_id, cast(len(w) as bigint) as n_words, cast(len(places) as bigint) as n_base,
@@ -215,4 +231,4 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(len(places) as bigint) as
        coalesce(array_to_string(list_sort(list_concat(base, own)), ','), '') as labels,
        case when len(own) > 0 then 1.0::double when len(base) > 0 then 0.5::double else 0.0::double end as score
 from b
-"""
+""".replace("OWN", _own_sql(TEMPLATES))
