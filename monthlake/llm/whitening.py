@@ -4,7 +4,8 @@ The covariance is never formed. An iteration works on a block of directions Q (d
 some kilobytes): one pass over the rows gives the centred product XᵀXQ, a sum over tasks that Spark
 adds up. The block is filtered by a Chebyshev polynomial of the covariance (three-term recurrence,
 a pass for each degree), which is small on [0, cut], cut being the smallest Ritz value of the
-block, and grows fast above it. Then QR and Rayleigh-Ritz. The iteration stops when the residuals
+block, and grows fast above it. From the second filter on the interval begins at a bound below the spectrum, found by
+Lanczos steps that ride along with the first one's passes: the narrower the interval, the fewer passes. Then QR and Rayleigh-Ritz. The iteration stops when the residuals
 |Vq - eq| of the wanted components are certified to be below `TOLERANCE` times the largest
 eigenvalue. A last pass measures the covariance of the whitened values themselves.
 
@@ -85,9 +86,9 @@ class Fit:
         return self.sums / self.n
 
 
-def chebyshev(apply, q: np.ndarray, aq: np.ndarray, cut: float, top: float, degree: int) -> np.ndarray:
-    """p(V)q for the scaled Chebyshev polynomial that is small on [0, cut] and 1 in size at `top`."""
-    c = e = cut / 2
+def chebyshev(apply, q: np.ndarray, aq: np.ndarray, low: float, cut: float, top: float, degree: int) -> np.ndarray:
+    """p(V)q for the scaled Chebyshev polynomial that is small on [low, cut] and 1 in size at `top`."""
+    c, e = (cut + low) / 2, (cut - low) / 2
     sigma = first = e / (top - c)
     before, now = q, (aq - c * q) * (sigma / e)
     for _ in range(degree - 1):
@@ -97,14 +98,49 @@ def chebyshev(apply, q: np.ndarray, aq: np.ndarray, cut: float, top: float, degr
     return now
 
 
+class LowEnd:
+    """A bound below the spectrum, by Lanczos steps on one vector that rides along with the block's passes."""
+
+    def __init__(self, dim: int):
+        v = np.random.default_rng(20240312).standard_normal(dim)
+        self.basis, self.alpha, self.beta = [v / np.linalg.norm(v)], [], []
+
+    def riding(self, apply):
+        """`apply` with the next Lanczos vector as a further column."""
+
+        def both(q: np.ndarray) -> np.ndarray:
+            out = apply(np.column_stack([q, self.basis[-1]]))
+            self._step(out[:, -1])
+            return out[:, :-1]
+
+        return both
+
+    def _step(self, w: np.ndarray) -> None:
+        self.alpha.append(float(self.basis[-1] @ w))
+        for v in self.basis:  # orthogonal to all, twice, against rounding
+            w = w - (v @ w) * v
+        for v in self.basis:
+            w = w - (v @ w) * v
+        self.beta.append(float(np.linalg.norm(w)))
+        self.basis.append(w / self.beta[-1] if self.beta[-1] > 0 else w)
+
+    def bound(self) -> float:
+        """The least Ritz value less the norm of what the last step left."""
+        if not self.alpha:
+            return 0.0
+        t = np.diag(self.alpha) + np.diag(self.beta[:-1], 1) + np.diag(self.beta[:-1], -1)
+        return max(0.0, float(np.linalg.eigvalsh(t)[0]) - self.beta[-1])
+
+
 def leading_components(apply, dim: int, wanted: int, guard: int = GUARD, degree: int = DEGREE):
     """Eigenvalues (falling), unit eigenvectors and the largest relative residual of the `wanted`
     leading components of a positive semidefinite operator; `apply` maps dim x m to dim x m."""
     block = min(dim, wanted + guard)
     q = np.linalg.qr(np.random.default_rng(20240311).standard_normal((dim, block)))[0]
+    low_end, low = LowEnd(dim), 0.0
     best = None
     stalled = 0
-    for _ in range(MAX_ITERATIONS):
+    for turn in range(MAX_ITERATIONS):
         aq = apply(q)
         small = q.T @ aq
         theta, u = np.linalg.eigh((small + small.T) / 2)
@@ -121,7 +157,11 @@ def leading_components(apply, dim: int, wanted: int, guard: int = GUARD, degree:
         if residual <= TOLERANCE or (stalled >= 2 and best[2] <= 100 * TOLERANCE):
             return best
         cut = max(float(theta[-1]), 1e-6 * float(theta[0]))
-        q = np.linalg.qr(chebyshev(apply, q, aq, cut, float(theta[0]), degree))[0]
+        low = min(low, 0.9 * cut)
+        # The first filter takes [0, cut]; its passes tell how far up the interval may begin.
+        filtered = chebyshev(low_end.riding(apply) if turn == 0 else apply, q, aq, low, cut, float(theta[0]), degree)
+        q = np.linalg.qr(filtered)[0]
+        low = low_end.bound()
     raise RuntimeError(f"components are not certified after {MAX_ITERATIONS} iterations: residual {best[2]}")
 
 
