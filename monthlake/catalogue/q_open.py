@@ -15,8 +15,9 @@ from monthlake.catalogue.q_profile import SPEED
 from monthlake.catalogue.registry import SQL, query
 from monthlake.functions.contract import TRIPS, check_schema
 from monthlake.functions.months import Month
-from monthlake.operators import checks, sketches
+from monthlake.operators import checks, profile, sketches
 from monthlake.operators.classify import classify, store_by_identity
+from monthlake.operators.profile import plausible_trips
 from monthlake.plans import batch, star
 from monthlake.session import shared_folder
 from monthlake.sources import lake, raw
@@ -266,3 +267,30 @@ def fact_matches_bucketed(spark, sf):
     judged = classify(bucketed_trips(spark, sf), co_located=True).filter(F.col("reject_reason").isNull())
     staged = star.stage_trips(judged.select(*[n for n, _ in TRIPS.curated_schema()]))
     return checks.fact_matches_staging(star.fact_trips(staged), staged)
+
+
+@query(
+    "k10s_fast_median_ranks",
+    f"""{SPEED}, fast as (select * from plausible where mph > 100)
+    select m as measure, n, true as within from (select count(*) as n from fast),
+      (values ('median_miles'), ('median_secs'), ('median_fare')) v(m)""",
+)
+def fast_median_ranks(spark, sf):
+    """The sketched medians of fast trips, and whether exact ranks confirm them to a thousandth, at any size."""
+    trips = fx.typed_trips(spark, sf)
+    fast = plausible_trips(trips).filter("mph > 100")
+    values = {"median_miles": F.col("trip_distance"), "median_secs": F.col("secs"), "median_fare": F.col("fare_amount")}
+    medians = profile.fast_medians(trips)  # one row, read as scalar subqueries
+    shares = [
+        F.struct(
+            F.lit(name).alias("measure"),
+            F.count(F.lit(1)).alias("n"),
+            F.avg((v < F.col(f"_{name}")).cast("int")).alias("below"),
+            F.avg((v <= F.col(f"_{name}")).cast("int")).alias("upto"),
+        )
+        for name, v in values.items()
+    ]
+    beside = fast.withColumns({f"_{name}": medians.select(name).scalar() for name in values})
+    told = beside.agg(F.array(*shares).alias("s"))
+    within = (F.col("s.below") <= 0.501) & (F.col("s.upto") >= 0.499)
+    return told.select(F.explode("s").alias("s")).select("s.measure", "s.n", within.alias("within"))
