@@ -4,7 +4,8 @@ Each round replaces links by links to smaller ids (large stars, then small stars
 links to the smallest id it can reach. Rounds are written to the shared folder, so the lineage
 stays short and a lost executor repeats one round at most. Nothing is collected but two numbers a
 round. The centre of a large group is the smallest id of many links: its minimum combines on the
-map side, and the join that follows is a plain equi-join, which adaptive execution splits.
+map side and is written before it is joined. So both sides of the join are plain scans, and
+adaptive execution can split a centre with many links.
 """
 
 from __future__ import annotations
@@ -39,14 +40,14 @@ def components(links: DataFrame) -> DataFrame:
     before = _state(links)
     for _ in range(MAX_ROUNDS):
         both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+        least = _saved(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")), "least")
         large = (
             both.join(least, "a").filter((F.col("b") > F.col("a")) & (F.col("b") != F.col("m")))
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
             .distinct()
         )
         large = _saved(large, "links")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = _saved(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").select(F.explode(F.array("b", "a")).alias("a"), F.col("m").alias("b"))
         links = _saved(small.filter(F.col("a") != F.col("b")).distinct(), "links")
         after = _state(links)

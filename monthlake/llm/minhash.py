@@ -10,12 +10,13 @@ Groups of copies: in each bucket of a band, documents are first compared with th
 (a row per member). Only buckets whose members are then still in different components go on: small
 ones as pairs across components; in large ones the members outside the main component meet all
 others in tiles of bounded size, which return a spanning forest. So a bucket of n near copies costs
-about n rows, no bucket is skipped, and none is held in one task. Misses: a pair at the threshold agrees in no band with chance (1 - 0.8^4)^32 = 5e-8, and is
-dropped by a batch with chance of about 1e-4 at most.
+about n rows, no bucket is skipped, and none is held in one task. A bucket of n unlike texts costs some
+n * n / TILE rows. Misses: a pair at the threshold agrees in no band with chance (1 - 0.8^4)^32 = 5e-8,
+and is dropped by a batch with chance of about 1e-4 at most.
 
 Defined cases: null text, or text without words, has no shingles and links with nothing; a row with
 null doc_id links with nothing, has a null component and is not kept; rows that repeat a doc_id are
-one document and share its verdict; extra columns are dropped; an empty table gives an empty result.
+judged each by its own text; extra columns are dropped; an empty table gives an empty result.
 Words and shingles are compared by 64-bit hashes, equal sets by 128-bit ones.
 """
 
@@ -97,6 +98,11 @@ def signature(shingles: np.ndarray) -> bytes:
     return low.tobytes()
 
 
+def _set_key(shingles: bytes) -> bytes | None:
+    """The key of a set; equal for equal sets, null for the empty one."""
+    return hashlib.blake2b(shingles, digest_size=16).digest() if shingles else None
+
+
 def _fields(docs: DataFrame, *more: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType)] + [T.StructField(*m) for m in more])
 
@@ -107,7 +113,7 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (c for b in batches for c in _chunks(b)):
             sets = shingle_sets(batch["text"], k)
-            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            keys = [_set_key(s.tobytes()) for s in sets]
             known: dict[bytes, bytes] = {}
             for key, s in zip(keys, sets, strict=True):
                 if key and key not in known:
@@ -126,17 +132,25 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """doc_id and shingles (sorted 64-bit hashes) of the documents in `ids`, each once."""
+def full_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """id and shingles (sorted 64-bit hashes) of the classes in `ids`, each once.
+
+    The text of a class is found by the doc_id of one of its rows, and then by its key, since other
+    texts may have that doc_id too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (c for b in batches for c in _chunks(b)):
             sets = [s.tobytes() for s in shingle_sets(batch["text"], k)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
+            keys = pa.array([_set_key(s) for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([keys, pa.array(sets, pa.binary())], names=["key", "shingles"])
 
-    wanted = docs.select("doc_id", "text").join(dimension(ids, BROADCAST_IDS), "doc_id", "left_semi")
-    made = wanted.mapInArrow(run, _fields(docs, ("shingles", T.BinaryType())))
-    return made.groupBy("doc_id").agg(F.min("shingles").alias("shingles"))
+    wanted = _saved(classes.join(ids, "id", "left_semi").select("id", "key", "least"), "wanted")
+    texts = docs.select("doc_id", "text").join(
+        dimension(wanted.select(F.col("least").alias("doc_id")).distinct(), BROADCAST_IDS), "doc_id", "left_semi"
+    )
+    made = texts.mapInArrow(run, "key binary, shingles binary").groupBy("key").agg(F.any_value("shingles").alias("shingles"))
+    return made.join(wanted.select("key", "id"), "key").select("id", "shingles")
 
 
 @lru_cache(maxsize=8)
@@ -212,26 +226,26 @@ def verify(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     return both.mapInPandas(run, pairs.select("a", "b").schema)
 
 
-def _checked(docs, pairs: DataFrame, sigs: DataFrame, k: int, share: int) -> DataFrame:
+def _checked(docs, classes: DataFrame, pairs: DataFrame, sigs: DataFrame, k: int, share: int) -> DataFrame:
     left = _saved(prune(pairs, sigs, share), "pairs")
-    ids = left.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = _saved(full_sets(docs, _saved(ids, "ids"), k), "sets")
+    ids = left.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = _saved(full_sets(docs, classes, _saved(ids, "ids"), k), "sets")
     return _saved(verify(left, sets, share), "links")
 
 
-def _tiled_links(docs, residual: DataFrame, sigs: DataFrame, k: int, share: int) -> DataFrame:
+def _tiled_links(docs, classes: DataFrame, residual: DataFrame, sigs: DataFrame, k: int, share: int) -> DataFrame:
     """Links across components in large buckets, in groups of bounded size.
 
     Most members of a bucket are in its main component and need no comparison with each other. So
     main members are dealt to tiles once for each tile of outsiders (mostly one), and only outsiders
     meet every tile.
     """
-    ids = _saved(residual.select("doc_id").distinct(), "ids")
-    sets = _saved(full_sets(docs, ids, k), "sets")
+    ids = _saved(residual.select("id").distinct(), "ids")
+    sets = _saved(full_sets(docs, classes, ids, k), "sets")
     outside = F.col("component") != F.col("main")
     main_tiles = F.greatest(F.ceil((F.col("size") - F.col("outsiders")) / TILE), F.lit(1))
     out_tiles = F.ceil(F.col("outsiders") / TILE)
-    spread = F.xxhash64("doc_id")
+    spread = F.xxhash64("id")
     own = F.when(outside, F.pmod(spread, out_tiles)).otherwise(F.pmod(spread, main_tiles)).cast("long")
     upto = lambda n: F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
     with_main = F.transform(
@@ -252,14 +266,13 @@ def _tiled_links(docs, residual: DataFrame, sigs: DataFrame, k: int, share: int)
         residual.withColumn("outside", outside)
         .withColumn("tile", own)
         .withColumn("at", F.explode(F.concat(with_main, among)))
-        .select("bucket", "at.across", "at.x", "at.y", "doc_id", "component", "outside")
+        .select("bucket", "at.across", "at.x", "at.y", "id", "component", "outside")
     )
-    body = placed.join(sigs, "doc_id").join(sets, "doc_id")
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    body = placed.join(sigs, "id").join(sets, "id")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["outside", "doc_id"], ascending=[False, True], kind="stable")
-        ids, comp = frame["doc_id"].to_numpy(), pd.factorize(frame["component"])[0]
+        frame = frame.sort_values(["outside", "id"], ascending=[False, True], kind="stable")
+        ids, comp = frame["id"].to_numpy(), pd.factorize(frame["component"])[0]
         sig, sets = _sigs(frame["sig"]), [np.frombuffer(s, np.uint64) for s in frame["shingles"]]
         outsiders, across = int(frame["outside"].sum()), bool(frame["across"].iloc[0])
         a, b = [], []
@@ -275,63 +288,73 @@ def _tiled_links(docs, residual: DataFrame, sigs: DataFrame, k: int, share: int)
         return pd.DataFrame({"a": a, "b": b})
 
     groups = body.groupBy("bucket", "across", "x", "y")
-    return _saved(groups.applyInPandas(run, f"a {kind}, b {kind}").distinct(), "links")
+    return _saved(groups.applyInPandas(run, "a long, b long").distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, share: int = SHARE) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id, kept."""
     told = _saved(sketches(docs, k), "sketches")
+    # A class has an id of its own (saved): a doc_id may stand in several classes.
     classes = _saved(
         told.filter(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("key")
-        .agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig")),
+        .agg(F.min("doc_id").alias("least"), F.any_value("sig").alias("sig"))
+        .withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
-    sigs = classes.select(F.col("rep").alias("doc_id"), "sig")
+    sigs = classes.select("id", "sig")
     bands = F.array(
         *[F.xxhash64(F.lit(i), F.substring("sig", 4 * BAND_ROWS * i + 1, 4 * BAND_ROWS)) for i in range(BANDS)]
     )
-    banded = sigs.select("doc_id", F.explode(bands).alias("bucket"))
-    shared = (
+    banded = sigs.select("id", F.explode(bands).alias("bucket"))
+    # Aggregates are written before they are joined to what they were made of: only then are both
+    # sides of the join stages of their own, which adaptive execution can split at a hot key.
+    shared = _saved(
         banded.groupBy("bucket")
-        .agg(F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("size"))
-        .filter(F.col("size") > 1)
+        .agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("size"))
+        .filter(F.col("size") > 1),
+        "shared",
     )
     members = _saved(banded.join(shared, "bucket"), "members")
-    stars = members.filter(F.col("doc_id") != F.col("leader")).select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
+    stars = members.filter(F.col("id") != F.col("leader")).select(F.col("leader").alias("a"), F.col("id").alias("b"))
     stars = _saved(stars.distinct(), "stars")
-    links = _checked(docs, stars, sigs, k, share)
+    links = _checked(docs, classes, stars, sigs, k, share)
     joined = components(links)
 
     # Buckets of more than two whose members are still apart.
-    now = members.filter(F.col("size") > 2).join(joined.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "bucket", "size", "doc_id", F.coalesce("component", "doc_id").alias("component")
+    now = members.filter(F.col("size") > 2).join(joined, "id", "left").select(
+        "bucket", "size", "id", F.coalesce("component", "id").alias("component")
     )
     # The main component of each such bucket, and how many members are outside it.
-    apart = (
+    apart = _saved(
         now.groupBy("bucket", "component")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("bucket")
         .agg(F.max("n").alias("most"), F.sum("n").alias("all"), F.max_by("component", F.struct("n", "component")).alias("main"))
         .filter(F.col("most") < F.col("all"))
-        .select("bucket", "main", (F.col("all") - F.col("most")).alias("outsiders"))
+        .select("bucket", "main", (F.col("all") - F.col("most")).alias("outsiders")),
+        "apart",
     )
     residual = _saved(now.join(apart, "bucket"), "residual")
     small = residual.filter(F.col("size") <= SMALL_BUCKET)
     x, y = small.alias("x"), small.alias("y")
     across = (
-        x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.doc_id") < F.col("y.doc_id"))
+        x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") < F.col("y.id"))
                & (F.col("x.component") != F.col("y.component")))
-        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
         .distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
-    more = _checked(docs, across, sigs, k, share)
-    tiled = _tiled_links(docs, residual.filter(F.col("size") > SMALL_BUCKET), sigs, k, share)
+    more = _checked(docs, classes, across, sigs, k, share)
+    tiled = _tiled_links(docs, classes, residual.filter(F.col("size") > SMALL_BUCKET), sigs, k, share)
     settled = joined.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(more).unionAll(tiled)
     final = components(settled)
-    reps = classes.select("key", "rep").join(final.withColumnRenamed("id", "rep"), "rep", "left")
-    by_key = reps.select("key", F.coalesce("component", "rep").alias("component_id"))
+    placed = _saved(classes.select("id", "key", "least").join(final, "id", "left"), "placed")
+    least = placed.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min("least").alias("component_id"))
+    by_key = _saved(
+        placed.join(_saved(least, "least"), "component", "left").select("key", F.coalesce("component_id", "least").alias("component_id")),
+        "by-key",
+    )
     return (
         told.select("doc_id", "n_shingles", "key")
         .join(by_key, "key", "left")

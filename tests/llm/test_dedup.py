@@ -42,6 +42,23 @@ def edited(text, n, seed):
     return " ".join(w)
 
 
+def test_one_id_with_several_texts(batches):
+    """Rows that repeat a doc_id are judged each by its own text; links of neither are lost."""
+    for trial in range(3):
+        a, b, c = (prose(700 + 10 * trial + i, 150) for i in range(3))
+        rows = [(1, a), (1, b), (5, edited(a, 2, 1)), (6, edited(b, 2, 2)), (7, c), (7, edited(a, 2, 3)), (2, c), (None, a)]
+        docs = batches.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs, k=4).collect() if r.doc_id)
+        sets = [shingles(t, 4) for _, t in rows]
+        links = [
+            (i, j) for i in range(7) for j in range(i)
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])
+        ]
+        whose = groups(range(7), links)
+        least = {g: min(rows[i][0] for i in whose if whose[i] == g) for g in set(whose.values())}
+        assert found == sorted((rows[i][0], len(sets[i]), least[whose[i]]) for i in range(7))
+
+
 def near_corpus():
     texts = [prose(i, 30 + i) for i in range(20)]
     base = prose(100, 200)
