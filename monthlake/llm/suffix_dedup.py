@@ -11,8 +11,9 @@ an anchor start at neighbouring places and form a segment (some 570 bytes at a l
    whole, so groups of copies, however large, shrink to one row here.
 3. Anchors that hold different contents are what copies with edits, and the edges of shared
    passages, leave. Each different content is fetched once and sent to the shard of its anchor. A
-   shard builds its suffix array by Larsson-Sadakane refinement, takes common prefixes by Kasai's
-   method (all segments side by side), and marks starts with a prefix of `length` bytes in common.
+   shard passes over segments none of whose strings has a hash that comes twice there, builds the suffix
+   array of the others by Larsson-Sadakane refinement, takes common prefixes by Kasai's method (all segments
+   side by side), and marks starts with a prefix of `length` bytes in common.
 4. An anchor too large for a shard takes no suffix array: each of its strings becomes a row of two
    64-bit fingerprints, and a grouped count (combined on the map side) finds those that occur twice.
    This replaces sub-shards merged by binary search.
@@ -135,18 +136,13 @@ def _listed(rows: list[list[tuple]], names: tuple[str, ...], kinds: tuple) -> pa
 
 
 def survey(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """row_id, doc_id, key (md5), sha, n_bytes, segs (different segments of the text), own (spans
-    whose segment occurs twice within the text)."""
+    """row_id, key (md5), segs (different segments of the text), own (spans whose segment occurs twice
+    within the text)."""
     body = F.coalesce("text", F.lit(""))
     keyed = docs.select(
-        F.monotonically_increasing_id().alias("row_id"),
-        "doc_id",
-        F.unhex(F.md5(body)).alias("key"),
-        F.sha2(body, 256).alias("sha"),
-        F.octet_length(body).cast("long").alias("n_bytes"),
-        body.alias("text"),
+        F.monotonically_increasing_id().alias("row_id"), F.unhex(F.md5(body)).alias("key"), body.alias("text")
     )
-    plain = ("row_id", "doc_id", "key", "sha", "n_bytes")
+    plain = ("row_id", "key")
     split = segments if length == LENGTH else partial(segments, length=length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,8 +251,33 @@ def common_prefixes(
     return out
 
 
+def with_repeats(parts: list[bytes], length: int = LENGTH) -> np.ndarray:
+    """Which segments hold a string of `length` bytes whose hash comes twice among all of them.
+
+    Equal strings have equal hashes, so a segment passed over has no repeat: it need not be sorted.
+    """
+    sizes = np.array([len(x) for x in parts])
+    starts = np.cumsum(sizes) - sizes
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    n = np.maximum(sizes - length + 1, 0)
+    owner = np.repeat(np.arange(len(parts)), n)
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + starts[owner]
+    hashes = _range_hash(_prefix(data), at, at + length)
+    order = np.argsort(hashes)
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    found = np.zeros(len(parts), bool)
+    found[owner[order[1:][same]]] = True
+    found[owner[order[:-1][same]]] = True
+    return found
+
+
 def repeated_starts(parts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
     """For each segment, which of its starts (with `length` bytes ahead) have their string elsewhere."""
+    out = [np.zeros(max(0, len(x) - length + 1), bool) for x in parts]
+    chosen = np.flatnonzero(with_repeats(parts, length))
+    if not len(chosen):
+        return out
+    parts = [parts[i] for i in chosen]
     sizes = np.array([len(x) for x in parts])
     ends_of = np.cumsum(sizes)
     starts = ends_of - sizes
@@ -268,7 +289,9 @@ def repeated_starts(parts: list[bytes], length: int = LENGTH) -> list[np.ndarray
     again[:-1] |= shared[1:]
     marked = np.zeros(len(data), bool)
     marked[order] = again
-    return [marked[s : s + max(0, n - length + 1)] for s, n in zip(starts, sizes, strict=True)]
+    for i, s in zip(chosen, starts, strict=True):
+        out[i] = marked[s : s + len(out[i])]
+    return out
 
 
 def _runs(marks: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -363,10 +386,12 @@ def removed_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Dat
         listed.groupBy("anchor", "content", "len").agg(F.sum("times").alias("times"), F.min("row_id").alias("row_id")),
         "contents",
     )
-    anchors = (
+    # Written before it is joined, so that adaptive execution can split an anchor of many contents.
+    anchors = _saved(
         contents.groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("n"), F.min("times").alias("fewest"), F.sum("len").alias("bytes"))
-        .filter((F.col("n") > 1) & (F.col("fewest") == 1))
+        .filter((F.col("n") > 1) & (F.col("fewest") == 1)),
+        "anchors",
     )
     mixed = _saved(contents.join(anchors.select("anchor", "bytes"), "anchor"), "mixed")
     total = mixed.filter(F.col("bytes") <= HOT_BYTES).agg(F.sum("len")).first()[0] or 0
@@ -409,13 +434,11 @@ def _merged_spans():
 
 
 def judged(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """row_id, doc_id, key, sha, n_bytes, cut (removed spans: sorted, apart from each other)."""
+    """row_id, key, cut (removed spans: sorted, apart from each other)."""
     told, spans = removed_spans(docs, length)
     all_spans = F.concat(F.col("own"), F.coalesce("spans", F.array().cast(SPAN)))
-    joined = told.select("row_id", "doc_id", "key", "sha", "n_bytes", "own").join(spans, "row_id", "left")
-    return _saved(
-        joined.select("row_id", "doc_id", "key", "sha", "n_bytes", _merged_spans()(all_spans).alias("cut")), "cut"
-    )
+    joined = told.select("row_id", "key", "own").join(spans, "row_id", "left")
+    return _saved(joined.select("row_id", "key", _merged_spans()(all_spans).alias("cut")), "cut")
 
 
 def kept_bytes(raw: bytes, cut: list) -> bytes:
@@ -426,27 +449,48 @@ def kept_bytes(raw: bytes, cut: list) -> bytes:
     return b"".join([*out, raw[at:]])
 
 
-def _removed() -> F.Column:
-    return F.aggregate("cut", F.lit(0).cast("long"), lambda n, x: n + x["e"] - x["s"])
+def _cut_texts(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """`docs` without the rows that lose bytes, and the rows that do, with _cut (their removed spans).
+
+    Equal texts lose the same bytes, so cuts are joined by the digest of the text.
+    """
+    found = judged(docs, length).filter(F.size("cut") > 0).select("key", "cut").dropDuplicates(["key"])
+    cuts = _saved(found.toDF("_cut_key", "_cut"), "cuts")
+    keyed = docs.withColumn("_text_key", F.unhex(F.md5("text")))
+    keys = dimension(cuts.select("_cut_key"), BROADCAST_KEYS)
+    same = F.col("_text_key") == F.col("_cut_key")
+    return keyed.join(keys, same, "left_anti"), keyed.join(keys, same, "left_semi").join(cuts, same)
 
 
 def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row."""
-    found = judged(docs, length).withColumn("n_removed", _removed()).withColumn("n_spans", F.size("cut").cast("long"))
-    partly = (F.col("n_removed") > 0) & (F.col("n_removed") < F.col("n_bytes"))
-    # Equal texts lose all or nothing, so a partly cut text has a key of its own.
-    cuts = found.filter(partly).select("key", "cut").dropDuplicates(["key"])
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, text (what is left) for each row.
 
-    @F.pandas_udf("string")
-    def sha(texts: pd.Series, cut: pd.Series) -> pd.Series:
-        return pd.Series([hashlib.sha256(kept_bytes(t.encode(), c)).hexdigest() for t, c in zip(texts, cut, strict=True)], dtype=object)
-
-    own = _texts(docs, cuts.select("key")).join(cuts, "key").select("key", sha("text", "cut").alias("own_sha"))
-    empty = hashlib.sha256(b"").hexdigest()
-    kept = F.when(F.col("n_removed") == 0, F.col("sha")).when(~partly, F.lit(empty)).otherwise(F.col("own_sha"))
-    return found.join(own.dropDuplicates(["key"]), "key", "left").select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", kept.alias("kept_sha256")
+    A character that loses some of its bytes is missing in `text`; kept_sha256 is of the bytes.
+    """
+
+    @F.pandas_udf("text string, sha string, n long")
+    def left(texts: pd.Series, cut: pd.Series) -> pd.DataFrame:
+        kept = [kept_bytes(t.encode(), c) for t, c in zip(texts, cut, strict=True)]
+        return pd.DataFrame(
+            {"text": [k.decode("utf-8", "ignore") for k in kept], "sha": [hashlib.sha256(k).hexdigest() for k in kept],
+             "n": [len(k) for k in kept]}
+        )
+
+    untouched, touched = _cut_texts(docs.select("doc_id", "text"), length)
+    body, none = F.coalesce("text", F.lit("")), F.lit(0).cast("long")
+    n_bytes = F.octet_length(body).cast("long").alias("n_bytes")
+    whole = untouched.select(
+        "doc_id", n_bytes, none.alias("n_removed"), none.alias("n_spans"), F.sha2(body, 256).alias("kept_sha256"), "text"
     )
+    cut = touched.select("doc_id", n_bytes, "_cut", left("text", "_cut").alias("_left")).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.col("_left.n")).alias("n_removed"),
+        F.size("_cut").cast("long").alias("n_spans"),
+        F.col("_left.sha").alias("kept_sha256"),
+        F.col("_left.text").alias("text"),
+    )
+    return whole.unionAll(cut)
 
 
 def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -454,21 +498,15 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     A character that loses some of its bytes is dropped whole.
     """
-    found = judged(docs, length).filter(F.size("cut") > 0).select("key", "cut").dropDuplicates(["key"])
-    cuts = _saved(found.toDF("_cut_key", "_cut"), "cuts")
 
     @F.pandas_udf("string")
     def cut_text(texts: pd.Series, cut: pd.Series) -> pd.Series:
         left = [kept_bytes(t.encode(), c).decode("utf-8", "ignore") for t, c in zip(texts, cut, strict=True)]
         return pd.Series(left, dtype=object)
 
-    keyed = docs.withColumn("_text_key", F.unhex(F.md5("text")))
-    keys = dimension(cuts.select("_cut_key"), BROADCAST_KEYS)
-    same = F.col("_text_key") == F.col("_cut_key")
-    untouched = keyed.join(keys, same, "left_anti").select(*docs.columns)
-    touched = keyed.join(keys, same, "left_semi").join(cuts, same)
+    untouched, touched = _cut_texts(docs, length)
     names = [cut_text("text", "_cut").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return untouched.unionAll(touched.select(*names))
+    return untouched.select(*docs.columns).unionAll(touched.select(*names))
 
 
 def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:
