@@ -220,14 +220,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     joined = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     sums = found.groupBy("rep").agg(F.sum("links").alias("_links"))
     members = joined.withColumnRenamed("id", "rep").join(classes.select("rep", "least"), "rep")
-    named = members.groupBy("component").agg(F.min("least").alias("component_id"))
-    told = (
+    # Written before they are joined, so that adaptive execution can split a large component or class.
+    named = _saved(members.groupBy("component").agg(F.min("least").alias("component_id")), "named")
+    told = _saved(
         classes.select("label", "dim", "key", "rep", "least", "n")
         .join(sums, "rep", "left")
         .join(joined.withColumnRenamed("id", "rep"), "rep", "left")
         .join(named, "component", "left")
         .select("label", "dim", "key", (F.coalesce("_links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-                F.coalesce("component_id", "least").alias("component_id"))
+                F.coalesce("component_id", "least").alias("component_id")),
+        "told",
     )
     linked = rows.select("vec_id", "label", "dim", "key").join(told, ["label", "dim", "key"])
     alone = vectors.filter(~F.coalesce(_usable(), F.lit(False))).select(
