@@ -14,9 +14,12 @@ an anchor start at neighbouring places and form a segment (some 570 bytes at a l
    shard passes over segments none of whose strings has a hash that comes twice there, builds the suffix
    array of the others by Larsson-Sadakane refinement, takes common prefixes by Kasai's method (all segments
    side by side), and marks starts with a prefix of `length` bytes in common.
-4. An anchor too large for a shard takes no suffix array: each of its strings becomes a row of two
-   64-bit fingerprints, and a grouped count (combined on the map side) finds those that occur twice.
-   This replaces sub-shards merged by binary search.
+4. An anchor too large for one shard is dealt to several, by content, and goes the same way in each.
+   Such a shard also gives one entry for each of its different strings: sorted by 128-bit
+   fingerprint, and cut at fixed fingerprints into as many slices as the anchor has shards. A slice of
+   all these shards meets in one task, where the sorted lists are merged by binary search of one in the
+   other; entries that two lists hold are repeats across shards. A string takes 32 bytes there once a
+   shard, however often it occurs, and no task holds more than about a shard's number of strings.
 5. Marks are joined back to segments and merged into spans of each text.
 
 Texts themselves are read three times and are shuffled only where a text has something to fetch.
@@ -271,12 +274,14 @@ def with_repeats(parts: list[bytes], length: int = LENGTH) -> np.ndarray:
     return found
 
 
-def repeated_starts(parts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each segment, which of its starts (with `length` bytes ahead) have their string elsewhere."""
+def repeated_starts(parts: list[bytes], length: int = LENGTH) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each segment, which of its starts (with `length` bytes ahead) have their string elsewhere,
+    and which have it before them in the suffix array (all but one of equal strings)."""
     out = [np.zeros(max(0, len(x) - length + 1), bool) for x in parts]
+    later = list(out)
     chosen = np.flatnonzero(with_repeats(parts, length))
     if not len(chosen):
-        return out
+        return out, later
     parts = [parts[i] for i in chosen]
     sizes = np.array([len(x) for x in parts])
     ends_of = np.cumsum(sizes)
@@ -287,11 +292,11 @@ def repeated_starts(parts: list[bytes], length: int = LENGTH) -> list[np.ndarray
     shared = common_prefixes(data, starts, ends, order, length)[order] >= length
     again = shared.copy()
     again[:-1] |= shared[1:]
-    marked = np.zeros(len(data), bool)
-    marked[order] = again
+    marked, behind = np.zeros(len(data), bool), np.zeros(len(data), bool)
+    marked[order], behind[order] = again, shared
     for i, s in zip(chosen, starts, strict=True):
-        out[i] = marked[s : s + len(out[i])]
-    return out
+        out[i], later[i] = marked[s : s + len(out[i])], behind[s : s + len(out[i])]
+    return out, later
 
 
 def _runs(marks: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -300,15 +305,53 @@ def _runs(marks: np.ndarray, length: int) -> list[tuple[int, int]]:
     return merged([(int(s), int(e) - 1 + length) for s, e in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)])
 
 
-def string_hashes(part: bytes, length: int = LENGTH) -> list[tuple[int, int]]:
-    """Two 64-bit fingerprints of each string of a segment."""
-    data = np.frombuffer(part, np.uint8)
-    at = np.arange(len(data) - length + 1)
+#: A string of a segment: 128-bit fingerprint, most significant byte first, and where it starts.
+ENTRY = np.dtype([("mark", "S16"), ("content", "<i8"), ("len", "<i4"), ("start", "<i4")])
+
+
+def entries(content: int, part: bytes, later: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """The strings of a segment that are not `later` ones of their shard."""
+    prefix = _prefix(np.frombuffer(part, np.uint8))
+    at = np.flatnonzero(~later)
     half = length // 2
-    prefix = _prefix(data)
     left, right = _range_hash(prefix, at, at + half), _range_hash(prefix, at + half, at + length)
+    # Strings often share their first half, so the hash of the whole comes first and cuts the slices.
     whole = _mixed(left + np.uint64(0x632BE59BD9B4E019) * right)
-    return list(zip(left.view(np.int64).tolist(), whole.view(np.int64).tolist(), strict=True))
+    out = np.empty(len(at), ENTRY)
+    out["mark"] = np.stack([whole, left], axis=1).astype(">u8").view("S16").ravel()
+    out["content"], out["len"], out["start"] = content, len(part), at
+    return out
+
+
+def slices(listed: np.ndarray, pieces: int) -> list[tuple[int, np.ndarray]]:
+    """Entries sorted by fingerprint and cut at `pieces` - 1 fixed fingerprints; those that hold any."""
+    listed = listed[np.argsort(listed["mark"], kind="stable")]
+    bounds = np.zeros((pieces + 1, 2), ">u8")
+    bounds[:, 0] = [min(i * (1 << 64) // pieces, (1 << 64) - 1) for i in range(pieces + 1)]
+    cuts = np.searchsorted(listed["mark"], bounds[:-1].view("S16").ravel()).tolist() + [len(listed)]
+    return [(i, listed[a:b]) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+
+
+def merged_marks(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two sorted lists of different fingerprints, each with a flag (in two lists or more), as one."""
+    (x, twice), (y, other) = a, b
+    at = np.searchsorted(x, y)
+    same = np.zeros(len(y), bool)
+    inside = at < len(x)
+    same[inside] = x[at[inside]] == y[inside]
+    twice = twice.copy()
+    twice[at[same]] = True
+    return np.insert(x, at[~same], y[~same]), np.insert(twice, at[~same], other[~same])
+
+
+def in_several(lists: list[np.ndarray]) -> list[np.ndarray]:
+    """For each sorted list of different fingerprints, which of its entries another list holds too."""
+    level = [(x, np.zeros(len(x), bool)) for x in lists]
+    while len(level) > 1:
+        pairs = [merged_marks(a, b) for a, b in zip(level[::2], level[1::2], strict=False)]
+        level = pairs + level[len(pairs) * 2 :]
+    marks, twice = level[0]
+    return [twice[np.searchsorted(marks, x)] for x in lists]
 
 
 def _saved(df: DataFrame, what: str) -> DataFrame:
@@ -325,7 +368,7 @@ def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 def _contents(docs: DataFrame, told: DataFrame, wanted: DataFrame) -> DataFrame:
     """`wanted` (anchor, content, len, row_id of one text that holds it, ...) with its bytes."""
-    lists = wanted.groupBy("row_id").agg(F.collect_list(F.struct("anchor", "content", "len", "shard")).alias("want"))
+    lists = wanted.groupBy("row_id").agg(F.collect_list(F.struct("anchor", "content", "len", "shard", "pieces")).alias("want"))
     needed = _saved(told.select("row_id", "key", "segs").join(lists, "row_id").select("key", "segs", "want"), "wanted")
     texts = _texts(docs, needed.select("key").distinct()).dropDuplicates(["key"])
 
@@ -338,44 +381,60 @@ def _contents(docs: DataFrame, told: DataFrame, wanted: DataFrame) -> DataFrame:
                 for w in want:
                     at = place[w["anchor"], w["content"], w["len"]]
                     part = raw[at : at + w["len"]].to_pybytes()
-                    rows.append((w["anchor"], w["content"], w["len"], w["shard"], part))
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-            names = ("anchor", "content", "len", "shard", "part")
+                    rows.append((w["anchor"], w["content"], w["len"], w["shard"], w["pieces"], part))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+            names = ("anchor", "content", "len", "shard", "pieces", "part")
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
     return (
         texts.join(needed, "key")
         .select("text", "segs", "want")
-        .mapInArrow(run, "anchor long, content long, len int, shard long, part binary")
+        .mapInArrow(run, "anchor long, content long, len int, shard long, pieces int, part binary")
     )
 
 
-def _marked_by_suffix_arrays(parts: DataFrame, length: int) -> DataFrame:
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["anchor", "content", "len"], kind="stable")
-        spans = [_runs(m, length) for m in repeated_starts(frame["part"].tolist(), length)]
-        out = frame[["anchor", "content", "len"]].assign(spans=[[{"s": s, "e": e} for s, e in x] for x in spans])
-        return out[[bool(x) for x in spans]]
+ARRAYS = f"anchor long, content long, len int, spans {SPAN}, slice int, strings binary"
 
-    return parts.groupBy("shard").applyInPandas(run, f"anchor long, content long, len int, spans {SPAN}")
 
+def _suffix_arrays(parts: DataFrame, length: int) -> DataFrame:
+    """Spans that repeat within a shard (slice is null) and, of anchors of several shards, the slices
+    of their strings (spans is null)."""
 
-def _marked_by_fingerprints(parts: DataFrame, length: int) -> DataFrame:
-    """The same for anchors beyond one shard, by counting the fingerprints of their strings."""
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["anchor", "content", "len"], kind="stable")
+        marks, later = repeated_starts(frame["part"].tolist(), length)
+        split: dict[tuple[int, int], list] = {}
+        rows = []
+        for x, mark, behind in zip(frame.itertuples(index=False), marks, later, strict=True):
+            if mark.any():
+                rows.append((x.anchor, x.content, x.len, [{"s": s, "e": e} for s, e in _runs(mark, length)], None, None))
+            if x.pieces > 1:
+                split.setdefault((x.anchor, x.pieces), []).append(entries(x.content, x.part, behind, length))
+        for (anchor, pieces), listed in split.items():
+            for i, piece in slices(np.concatenate(listed), pieces):
+                rows.append((anchor, None, None, None, i, piece.tobytes()))
+        # Typed column by column: a 64-bit hash beside None would become a double.
+        kinds = dict(anchor="int64", content="Int64", len="Int32", spans=object, slice="Int32", strings=object)
+        columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+        return pd.DataFrame({c: pd.Series(list(v), dtype=k) for (c, k), v in zip(kinds.items(), columns, strict=True)})
+
+    return parts.groupBy("shard").applyInPandas(run, ARRAYS)
+
+
+def _across_shards(arrays: DataFrame, length: int) -> DataFrame:
+    """Spans of the strings that several shards of an anchor hold."""
 
-    @F.pandas_udf("array<struct<x:long,y:long>>")
-    def hashes(parts: pd.Series) -> pd.Series:
-        return parts.map(lambda b: [{"x": x, "y": y} for x, y in string_hashes(b, length)])
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        lists = [np.frombuffer(b, ENTRY) for b in frame["strings"]]
+        found = in_several([np.ascontiguousarray(x["mark"]) for x in lists])
+        again = np.concatenate([x[f] for x, f in zip(lists, found, strict=True)])
+        at = {"anchor": frame["anchor"].iloc[0], "content": again["content"], "len": again["len"], "start": again["start"]}
+        return pd.DataFrame(at)
 
-    strings = _saved(
-        parts.select("anchor", "content", "len", F.posexplode(hashes("part")).alias("at", "h")).select(
-            "anchor", "content", "len", "at", "h.x", "h.y"
-        ),
-        "strings",
-    )
-    again = strings.groupBy("x", "y").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select("x", "y")
-    covered = F.struct(F.col("at").alias("s"), (F.col("at") + length).alias("e"))
-    return strings.join(again, ["x", "y"]).groupBy("anchor", "content", "len").agg(F.collect_list(covered).alias("spans"))
+    met = arrays.filter("strings is not null").select("anchor", "slice", "strings").groupBy("anchor", "slice")
+    covered = F.struct(F.col("start").alias("s"), (F.col("start") + length).alias("e"))
+    starts = met.applyInPandas(run, "anchor long, content long, len int, start int")
+    return starts.groupBy("anchor", "content", "len").agg(F.collect_list(covered).alias("spans"))  # of one segment
 
 
 def removed_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
@@ -397,17 +456,16 @@ def removed_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Dat
     total = mixed.filter(F.col("bytes") <= HOT_BYTES).agg(F.sum("len")).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     hot = F.col("bytes") > HOT_BYTES
-    placed = mixed.withColumn(
-        "shard",
-        # A large anchor does not share its shard, so none holds more than HOT_BYTES or about SHARD_BYTES.
-        F.when(hot, F.lit(-1).cast("long"))
-        .when(F.col("bytes") > SHARD_BYTES // 2, F.lit(shards) + F.shiftrightunsigned(F.xxhash64("anchor"), 2))
-        .otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards))),
-    )
+    pieces = F.when(hot, 2 + F.floor(F.col("bytes") / SHARD_BYTES)).otherwise(1).cast("int")
+    piece = F.pmod(F.xxhash64("content", "len"), F.col("pieces"))
+    own = F.lit(shards) + F.shiftrightunsigned(F.xxhash64("anchor", piece), 2)
+    # A large anchor does not share its shards, so none holds more than HOT_BYTES or about SHARD_BYTES.
+    shard = F.when(F.col("bytes") > SHARD_BYTES // 2, own).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+    placed = mixed.withColumn("pieces", pieces).withColumn("shard", F.when(hot, own).otherwise(shard))
     parts = _saved(_contents(docs, told, placed), "parts")
-    marked = _marked_by_suffix_arrays(parts.filter(F.col("shard") >= 0), length).unionAll(
-        _marked_by_fingerprints(parts.filter(F.col("shard") < 0), length)
-    )
+    arrays = _saved(_suffix_arrays(parts, length), "arrays")
+    inside = arrays.filter("spans is not null").select("anchor", "content", "len", "spans")
+    marked = inside.unionAll(_across_shards(arrays, length))
     whole = contents.filter(F.col("times") > 1).select(
         "anchor", "content", "len", F.array(F.struct(F.lit(0).alias("s"), F.col("len").alias("e"))).alias("spans")
     )

@@ -176,6 +176,44 @@ def test_suffix_removal_keeps_rows(batches, make, awkward, empty):
     assert suffix_dedup.digests(empty).count() == 0 and suffix_dedup.remove(empty).count() == 0
 
 
+def test_sub_shards_are_merged_by_binary_search():
+    """Repeats within and between sub-shards of one anchor, against all strings in one dictionary."""
+    rng = np.random.default_rng(8)
+    common = rng.integers(97, 101, 300, dtype=np.uint8).tobytes()
+    for pieces in (2, 3, 7):
+        shards = []
+        for _ in range(pieces):
+            parts = [rng.integers(97, 101, n, dtype=np.uint8).tobytes() for n in rng.integers(60, 200, 6)]
+            at = rng.integers(0, 200, 4)
+            parts += [common[a : a + 90] for a in at] + [parts[0][:40] + parts[1], b"a" * 120]
+            shards.append(sorted(set(parts)))
+        where = {}
+        for s, parts in enumerate(shards):
+            for i, part in enumerate(parts):
+                for k in range(len(part) - 64 + 1):
+                    where.setdefault(part[k : k + 64], []).append((s, i, k))
+        want = {x for v in where.values() if len(v) > 1 for x in v}
+        across = {v for v, x in where.items() if len({s for s, _, _ in x}) > 1}
+        got, met = set(), {}
+        for s, parts in enumerate(shards):
+            marks, later = suffix_dedup.repeated_starts(parts, 64)
+            got |= {(s, i, int(k)) for i, m in enumerate(marks) for k in np.flatnonzero(m)}
+            listed = np.concatenate([suffix_dedup.entries(i, p, x, 64) for i, (p, x) in enumerate(zip(parts, later, strict=True))])
+            assert len(np.unique(listed["mark"])) == len(listed) == len({p[k : k + 64] for p in parts for k in range(len(p) - 63)})
+            cut = suffix_dedup.slices(listed, pieces)
+            assert sum(len(x) for _, x in cut) == len(listed)
+            for n, piece in cut:
+                met.setdefault(n, []).append((s, piece))
+        assert len(met) == pieces
+        found = set()
+        for lists in met.values():
+            flags = suffix_dedup.in_several([np.ascontiguousarray(x["mark"]) for _, x in lists])
+            for (s, x), flag in zip(lists, flags, strict=True):
+                found |= {(s, int(e["content"]), int(e["start"])) for e in x[flag]}
+        assert {shards[s][i][k : k + 64] for s, i, k in found} == across and len(across) > 20
+        assert got | found == want
+
+
 def test_suffix_array_and_prefixes():
     r = random.Random(3)
     parts = [bytes(r.choice(b"ab\x00") for _ in range(r.randint(1, 60))) for _ in range(30)] + [b"a" * 70, b"a" * 70]
