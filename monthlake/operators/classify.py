@@ -3,10 +3,10 @@
 Ordinary trips take one exchange and one sort. Rows are hashed by trip identity; every
 window below partitions by a prefix of one sort order, so nothing is exchanged or sorted again:
 
-    month, identity, fare of the original | other amounts | side | trip_id
-    `------- near-duplicates ------------'
-    `--------- signature (totals per side) ---------------'
-    `--------- one side of a signature (ranks) -----------------------------'
+    hash of identity, month, identity, fare of the original | other amounts | side | trip_id
+    `--------------- near-duplicates ---------------------'
+    `------------- signature (totals per side) ----------------------------'
+    `------------- one side of a signature (ranks) -------------------------------'
 
 A trip identity that holds a large share of all rows (bad clocks, NULL identities, a file pasted
 many times) would make one task of that. Such identities are found by counting a sample and take
@@ -34,6 +34,7 @@ from monthlake.operators.skew import (
     HotPolicy,
     group_total,
     hot_keys,
+    key_hash,
     repeat_rows,
     slot_of,
     split_hot,
@@ -99,8 +100,10 @@ def _by_windows(typed: DataFrame, limits: Limits, co_located: bool = False) -> D
     # out of the hash: in a single-month job it is a constant, which the optimizer drops from the
     # windows but not from the exchange, and they would no longer fit together.
     rows = _signed(TRIPS.identified(typed if co_located else typed.repartition(*IDENTITY)))
-    side = Window.partitionBy(*SIGNATURE, "_negative").orderBy("trip_id")
-    both = Window.partitionBy(*SIGNATURE)
+    # A hash leads the sort order: eight bytes that tell almost all identities apart, where the month tells few.
+    rows = rows.withColumn("_key", key_hash(IDENTITY))
+    side = Window.partitionBy("_key", *SIGNATURE, "_negative").orderBy("trip_id")
+    both = Window.partitionBy("_key", *SIGNATURE)
     ranked = (
         rows.withColumns(
             {"_rank": F.row_number().over(side), "_first_copy": F.rank().over(side)}
@@ -124,7 +127,7 @@ def _by_windows(typed: DataFrame, limits: Limits, co_located: bool = False) -> D
         .withColumns(reason_columns("_failed", passes & ~kept_copy))
         .withColumn("_kept", F.col("reject_reason").isNull())
     )
-    twins = F.count_if("_kept").over(Window.partitionBy(*NEAR))
+    twins = F.count_if("_kept").over(Window.partitionBy("_key", *NEAR))
     flags = {**row_flags(limits), "is_near_duplicate": F.col("_kept") & (twins > 1)}
     return _result(judged.withColumns(flags))
 
