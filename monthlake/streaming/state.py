@@ -234,7 +234,7 @@ def start_updates(updates: DataFrame, table: str, checkpoint: str, **trigger) ->
     """Write a stream of updates as table/batch_id=n; a batch that runs again replaces its own rows."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(f"{table}/batch_id={batch_id}")
 
     return _start(updates, write, checkpoint, trigger)
 
