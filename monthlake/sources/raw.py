@@ -42,6 +42,12 @@ def file_period(path: Column) -> Column:
     return F.when(month != "", month).otherwise(F.regexp_replace(name, r"\.[^.]*$", ""))
 
 
+def file_table(path: Column) -> Column:
+    """The table a file belongs to: the folder `name.parquet` it lies in, else the file's own period or stem."""
+    folder = F.regexp_extract(path, r"([^/]+)\.parquet/[^/]+$", 1)
+    return F.when(folder != "", folder).otherwise(file_period(path))
+
+
 def _open(path: str):
     from pyarrow import fs
 
