@@ -156,6 +156,13 @@ def expire(spark: SparkSession, table: str, as_of: date, keep_days: int = 90) ->
     return sorted(gone)
 
 
+def data_folders(df: DataFrame) -> DataFrame:
+    """publish_date and how many batch or fold directories its rows come from; a fold is one, of as many files as its size calls for."""
+    folder = F.regexp_replace(F.input_file_name(), r"/[^/]+$", "")
+    named = df.select("publish_date", folder.alias("_folder")).distinct()
+    return named.groupBy("publish_date").agg(F.count(F.lit(1)).alias("folders"))
+
+
 def data_files(df: DataFrame) -> DataFrame:
     """publish_date and how many files its rows come from."""
     named = df.select("publish_date", F.input_file_name().alias("_file")).distinct()
