@@ -33,8 +33,8 @@ COUNTS = "minute timestamp, outcome string, events bigint, amount decimal(25,2),
 class FirstDelivery(StatefulProcessor):
     """Passes on the least delivery of an event by (publish time, message), and each one that is less."""
 
-    def __init__(self, keep_ms: int):
-        self.keep_ms = keep_ms
+    def __init__(self, keep_ms: int, columns: tuple[str, ...] = tuple(DELIVERED)):
+        self.keep_ms, self.columns = keep_ms, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -50,7 +50,7 @@ class FirstDelivery(StatefulProcessor):
             self.handle.deleteTimer(known[0] // 1000 + self.keep_ms)
         self.least.update(order)
         self.handle.registerTimer(first._at // 1000 + self.keep_ms)
-        yield Row(**{c: first[c] for c in DELIVERED})
+        yield Row(**{c: first[c] for c in self.columns})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.least.clear()
@@ -137,12 +137,13 @@ def _timed(deliveries: DataFrame, lateness: str) -> DataFrame:
 
 
 def first_seen(deliveries: DataFrame, lateness: str = "1 hour", keep_days: float = 1.0) -> DataFrame:
-    """A stream of deliveries as updates: the least delivery of each event known so far."""
-    schema = deliveries.select(*DELIVERED).schema
+    """A stream of deliveries as updates: the least delivery of each event known so far, with the columns given."""
+    columns = tuple(c for c in DELIVERED if c in deliveries.columns)
+    schema = deliveries.select(*columns).schema
     return (
-        _timed(deliveries, lateness)
+        _timed(deliveries.select(*columns), lateness)
         .groupBy("event_id")
-        .transformWithState(FirstDelivery(int(keep_days * DAY_MS)), schema, "Update", "EventTime")
+        .transformWithState(FirstDelivery(int(keep_days * DAY_MS), columns), schema, "Update", "EventTime")
     )
 
 
