@@ -73,12 +73,25 @@ def rank_errors(trips: DataFrame, found: DataFrame) -> DataFrame:
 
     A quantile that many rows share covers a range of ranks; the error is the distance to that range.
     """
-    values = F.create_map(*[x for m, v in measures().items() for x in (F.lit(m), v.cast("double"))])
-    long = plausible_trips(trips).select(F.explode(values).alias("measure", "v")).filter("v is not null")
-    counts = (
-        long.join(F.broadcast(found), "measure")  # a row for each measure and point
-        .groupBy("measure", "point", "n", "value")
-        .agg(F.avg((F.col("v") < F.col("value")).cast("int")).alias("below"), F.avg((F.col("v") <= F.col("value")).cast("int")).alias("upto"))
+    quantiles_found = found.collect()  # a row for each measure and point
+    if not quantiles_found:
+        return found.withColumns({c: F.lit(None).cast("double") for c in ("below", "upto", "rank_error")})
+    values = {m: v.cast("double") for m, v in measures().items()}
+    # One pass of plain counts: rows are neither multiplied by measures nor joined to the quantiles.
+    counts = plausible_trips(trips).agg(
+        F.array(
+            *[
+                F.struct(
+                    *[F.lit(r[c]).cast(found.schema[c].dataType).alias(c) for c in found.columns],
+                    F.count(values[r.measure]).alias("_n"),
+                    F.count_if(values[r.measure] < r.value).alias("_below"),
+                    F.count_if(values[r.measure] <= r.value).alias("_upto"),
+                )
+                for r in quantiles_found
+            ]
+        ).alias("told")
     )
+    told = counts.select(F.explode("told").alias("t")).select("t.*").filter("_n > 0")
+    shares = told.withColumns({"below": F.col("_below") / F.col("_n"), "upto": F.col("_upto") / F.col("_n")})
     error = F.greatest(F.col("below") - F.col("point"), F.col("point") - F.col("upto"), F.lit(0.0))
-    return counts.withColumn("rank_error", error)
+    return shares.select(*found.columns, "below", "upto", error.alias("rank_error"))
