@@ -196,3 +196,13 @@ def test_pipeline_runs(batches, awkward, empty, folder):
     path = folder(documents=awkward.withColumn("score", F.lit("x")).withColumn("key", F.lit("y")), labels=labels)
     assert corpus_pipeline.run(batches, path).columns[:2] == ["doc_id", "piece"]
     assert corpus_pipeline.run(batches, folder(documents=empty, labels=labels)).count() == 0
+
+
+def test_new_words_are_encoded_in_bounded_parts(tokenizer, monkeypatch):
+    """A worker's memory holds the encodings of `CODED` words at most, however many are new; ids stay the same."""
+    sizes, plain = [], packing._ids
+    monkeypatch.setattr(packing, "_ids", lambda t, words: sizes.append(len(words)) or plain(t, words))
+    texts = [" ".join(f"w{i}x{k}" for k in range(400)) for i in range(60)]
+    found = packing.tokenise(pa.array(texts), packing.WordTable(tokenizer))
+    assert sum(sizes) == 24_000 and max(sizes) <= 5_000
+    assert [x.tolist() for x in found] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
