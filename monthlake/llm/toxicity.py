@@ -7,8 +7,7 @@ A word is spelled byte by byte, and each class (toxic, ordinary) has an n-gram m
   for each time it occurs, so lines or documents that repeat weigh no more than one.
 - Absolute discounting, interpolated: P(x | g) = max(n(gx)/n(g) - d, 0) + rest(g) P(x | shorter g). The discount d
   is shared by both classes: `SIGMA` standard errors that the pooled share of gx would have in the
-  smaller class. What is rarer than that, or rarer than one in `RARE` of the pooled counts of its order, keeps no count
-  of its own and rests on the backoff.
+  smaller class. What is rarer than that keeps no count of its own and rests on the backoff.
 - The backoff ends in the byte counts of both classes together, so rare expressions cost both alike.
 
 A toxic text takes each word from the toxic model with chance `SHARE`, else from the ordinary one; an
@@ -16,9 +15,11 @@ ordinary text takes all from the ordinary model. The difference of both log-like
 words is turned into a score by a logistic curve, fitted on rows that gave no counts.
 
 Counts come from folds 1 to 3 of crc32(doc_id as text) mod 5, the curve from fold 4, all labelled rows of each; fold 0
-is held out. Counting is grouped by Spark: (word, word before) pairs first, then words, then n-grams. The
-model that reaches the driver and the workers has at most `RARE` n-grams of each order, since no more
-can have a share of 1/`RARE`. Scoring is one Arrow pass over whole texts, without shuffle.
+is held out. Counting is grouped by Spark: (word, word before) pairs first, then words, then n-grams. All
+n-grams beyond the discount belong to the model. Up to `MODEL_ROWS` of them reach the driver and the workers, and scoring is
+one Arrow pass over whole texts, without shuffle. A larger model stays a table: the different words of the texts are
+joined with it by n-gram, and their log ratios with the words of each text. Both ways give the same differences, but
+for the rounding of sums.
 
 Defined cases: null and empty text, or text without a word, has difference 0 and the score of that; labels
 that are null or not 0/1 are ignored, of several labels of a document the largest counts; without rows of both
@@ -49,7 +50,7 @@ from monthlake.plans.joins import dimension
 
 ORDER = 8  # bytes of the longest n-gram; it fits one 64-bit key
 SIGMA = 4.0
-RARE = 1 << 18
+MODEL_ROWS = 1 << 21  # n-grams of a model that workers hold, some 36 bytes each
 SHARE = 0.003
 MOST = 30.0  # of a word's log ratio; beyond that a word is toxic anyway
 HELD_OUT, CURVE, FOLDS = 0, 4, 5
@@ -173,32 +174,41 @@ class Model:
     order: int = ORDER
 
 
-def build(grams: DataFrame, order: int = ORDER, sigma: float = SIGMA, rare: int = RARE) -> Model:
-    """The model of saved n-gram counts."""
+@dataclass(frozen=True)
+class Tables:
+    """The same model, too large for a worker: `over` (key, v0, v1) and `rest` (first, r0, r1) as saved tables."""
+
+    over: DataFrame
+    rest: DataFrame
+    base: np.ndarray
+    order: int = ORDER
+
+
+def build(grams: DataFrame, order: int = ORDER, sigma: float = SIGMA, most: int = MODEL_ROWS) -> Model | Tables:
+    """The model of saved n-gram counts; tables if it has more than `most` n-grams."""
     # At most 256 n-grams share their first bytes, so a window is bounded.
     same = W.partitionBy("first", "size")
     n0, n1 = F.sum("c0").over(same), F.sum("c1").over(same)
-    sizes = grams.groupBy("size").agg(F.sum(F.col("c0") + F.col("c1")).alias("_all"))  # `order` rows
-    counted = grams.join(F.broadcast(sizes), "size").withColumns({"n0": n0, "n1": n1})
+    counted = grams.withColumns({"n0": n0, "n1": n1})
     pooled = (F.col("c0") + F.col("c1")) / (F.col("n0") + F.col("n1"))
     smaller = F.least("n0", "n1")
-    often = (F.col("c0") + F.col("c1")) * F.lit(rare) >= F.col("_all")
     discount = F.lit(sigma) * F.sqrt(pooled / smaller)
-    over = [
-        F.when(often & (smaller > 0), F.greatest(F.col(f"c{y}") / F.col(f"n{y}") - discount, F.lit(0.0))).otherwise(F.lit(0.0))
-        for y in (0, 1)
-    ]
+    over = [F.when(smaller > 0, F.greatest(F.col(f"c{y}") / F.col(f"n{y}") - discount, F.lit(0.0))).otherwise(F.lit(0.0)) for y in (0, 1)]
     judged = counted.withColumns({"v0": over[0], "v1": over[1]})
-    kept = judged.filter((F.col("v0") > 0) | (F.col("v1") > 0)).select("key", "first", "v0", "v1").toPandas()  # at most rare x order rows
-    kept = kept.sort_values("key", kind="stable")
+    found = _saved(judged.filter((F.col("v0") > 0) | (F.col("v1") > 0)).select("key", "first", "v0", "v1"), "model")
     single = grams.filter("size = 1").select("key", (F.col("c0") + F.col("c1")).alias("c")).toPandas()  # at most 256 rows
     base = np.ones(256)
     base[single["key"].to_numpy(np.int64)] += single["c"].to_numpy(float)
+    base = base / base.sum()
+    if found.count() > most:
+        rest = found.groupBy("first").agg(*[(1 - F.sum(f"v{y}")).alias(f"r{y}") for y in (0, 1)])
+        return Tables(found.select("key", "v0", "v1"), _saved(rest, "rest"), base, order)
+    kept = found.toPandas().sort_values("key", kind="stable")  # at most `most` rows
     by_first = kept.sort_values(["first", "key"], kind="stable").groupby("first")[["v0", "v1"]].sum()
     keys, firsts = kept["key"].to_numpy(np.int64).view(np.uint64), by_first.index.to_numpy(np.int64).view(np.uint64)
     a, b = np.argsort(keys), np.argsort(firsts)
     over_rows = kept[["v0", "v1"]].to_numpy(float).T[:, a]
-    return Model(keys[a], over_rows, firsts[b], 1 - by_first.to_numpy(float).T[:, b], base / base.sum(), order)
+    return Model(keys[a], over_rows, firsts[b], 1 - by_first.to_numpy(float).T[:, b], base, order)
 
 
 def _looked_up(wanted: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -241,8 +251,82 @@ def differences(texts: pa.Array, model: Model, share: float = SHARE) -> np.ndarr
     return total / np.maximum(ends - begins, 1)
 
 
-def with_difference(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def _id(word: bytes) -> bytes:
+    return xxhash.xxh3_128_digest(word)
+
+
+def occurrences(docs: DataFrame) -> DataFrame:
+    """text_key (MD5), word (its hash), times: the different words of each row's text; `docs`: text_key, text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (c for b in batches for c in _chunks(b)):
+            words, index, ends = coded_words(batch["text"])
+            row = np.repeat(np.arange(len(ends)), np.diff(np.concatenate([[0], ends])))
+            pair, times = np.unique(row * np.int64(len(words) + 1) + index, return_counts=True)
+            word = pa.array([_id(w) for w in words], pa.binary()).take(pa.array(pair % (len(words) + 1)))
+            yield pa.RecordBatch.from_arrays(
+                [batch["text_key"].take(pa.array(pair // (len(words) + 1))), word, pa.array(times.astype(np.int64))],
+                names=["text_key", "word", "times"],
+            )
+
+    return docs.select("text_key", "text").mapInArrow(run, "text_key string, word binary, times long")
+
+
+def places(texts: DataFrame, base: np.ndarray, order: int = ORDER) -> DataFrame:
+    """word (its hash), place, size, key, first, base: each n-gram of each different word of `texts` (text)."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (c for b in batches for c in _chunks(b)):
+            yield pa.RecordBatch.from_arrays([pa.array(coded_words(batch["text"])[0], pa.binary())], names=["word"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch["word"].to_pylist()
+            data, starts = spelled(words)
+            depth = _depths(starts, len(data))
+            ids = pa.array([_id(w) for w in words], pa.binary())
+            for at in range(0, len(data), BLOCK):
+                to = min(at + BLOCK, len(data))
+                owner = np.searchsorted(starts, np.arange(at, to), "right") - 1
+                for k, (ok, key, first) in enumerate(gram_keys(data, depth, at, to, order)):
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array(owner[ok])), pa.array(depth[ok + at]), pa.array(np.full(len(ok), k + 1, np.int32)),
+                         pa.array(key.view(np.int64)), pa.array(first.view(np.int64)), pa.array(base[data[ok + at]])],
+                        names=["word", "place", "size", "key", "first", "base"],
+                    )
+
+    words = texts.select("text").mapInArrow(listed, "word binary").distinct()
+    return words.mapInArrow(run, "word binary, place long, size int, key long, first long, base double")
+
+
+def joined_ratios(texts: DataFrame, model: Tables) -> DataFrame:
+    """word (its hash), ratio: as `word_ratios`, of all different words of `texts` (text), by joins with the model."""
+    # Without a known beginning there is neither a count nor a discount.
+    known = places(texts, model.base, model.order).join(model.rest, "first", "left").join(model.over, "key", "left")
+    amounts = {c: F.coalesce(c, F.lit(none)).alias(c) for c, none in (("r0", 1.0), ("r1", 1.0), ("v0", 0.0), ("v1", 0.0))}
+    steps = known.select("word", "place", "base", F.struct("size", *amounts.values()).alias("step"))
+    # `order` steps at most, from the shortest n-gram to the longest.
+    one = steps.groupBy("word", "place").agg(F.first("base").alias("base"), F.sort_array(F.collect_list("step")).alias("steps"))
+    ordinary = F.aggregate("steps", F.col("base"), lambda p, s: s["v0"] + s["r0"] * p)
+    toxic = F.aggregate("steps", F.col("base"), lambda p, s: s["v1"] + s["r1"] * p)
+    return one.select("word", F.log(toxic / ordinary).alias("ratio")).groupBy("word").agg(F.sum("ratio").alias("ratio"))
+
+
+def _joined_difference(docs: DataFrame, model: Tables, text: str, share: float = SHARE) -> DataFrame:
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    texts = docs.select(F.md5(body).alias("text_key"), body.alias("text"))
+    ratios = _saved(joined_ratios(texts, model), "ratios")
+    each = F.log1p(F.lit(share) * F.expm1(F.least("ratio", F.lit(MOST))))
+    # Copies of a text raise both sums alike.
+    sums = occurrences(texts).join(ratios, "word").groupBy("text_key").agg((F.sum(F.col("times") * each) / F.sum("times")).alias("_found"))
+    keyed = docs.withColumn("_text_key", F.md5(body)).join(_saved(sums, "differences").withColumnRenamed("text_key", "_text_key"), "_text_key", "left")
+    return keyed.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce("_found", F.lit(0.0)).alias("_difference"))
+
+
+def with_difference(docs: DataFrame, model: Model | Tables, text: str = "text") -> DataFrame:
     """`docs` with the column _difference."""
+    if isinstance(model, Tables):
+        return _joined_difference(docs, model, text)
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -285,12 +369,12 @@ def _stretched(difference: Column) -> Column:
 
 @dataclass(frozen=True)
 class Judge:
-    model: Model
+    model: Model | Tables
     intercept: float
     slope: float
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> Judge:
+def learn(docs: DataFrame, labels: DataFrame, most: int = MODEL_ROWS) -> Judge:
     """Counts and curve from all labelled documents of their folds."""
     marks = (
         labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
@@ -303,7 +387,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Judge:
     marks = dimension(_saved(marks, "labels"), LABELS_BROADCAST)
     labelled = docs.select("doc_id", "text").join(marks, "doc_id")
     words = _saved(vocabulary(labelled.filter(F.col("_fold") != CURVE)), "vocabulary")
-    model = build(_saved(gram_counts(words), "grams"))
+    model = build(_saved(gram_counts(words), "grams"), most=most)
     curve = with_difference(labelled.filter(F.col("_fold") == CURVE), model)
     place = F.floor(_stretched(F.col("_difference")) / BIN)
     bins = curve.groupBy(place.alias("bin")).agg(F.count_if(F.col("toxic") == 0).alias("n0"), F.count_if(F.col("toxic") == 1).alias("n1"))

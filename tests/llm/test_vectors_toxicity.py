@@ -295,6 +295,24 @@ def test_toxicity_on_held_out_rows(batches):
     assert np.mean([r.predicted for r in rows if r.toxic == 1]) > 0.9
 
 
+def test_toxicity_keeps_rare_grams_and_joins_a_large_model(batches):
+    """An n-gram rarer than one in 2^18 of its order counts; a model kept as tables gives the same scores."""
+    spread = 5 << 40  # pooled counts of the order, of which `rare` is far less than one in 2^18
+    grams = [(ord("a"), 0, 1, spread, spread), (ord("b"), 0, 1, 10, 10)]
+    grams += [(ord("a") << 8 | ord(x), ord("a"), 2, c0, c1) for x, c0, c1 in (("x", spread, 0), ("y", 0, spread))]
+    grams += [(ord("b") << 8 | ord(x), ord("b"), 2, c0, c1) for x, c0, c1 in (("x", 100, 0), ("y", 0, 100))]
+    counts = batches.createDataFrame(grams, "key long, first long, size int, c0 long, c1 long")
+    assert ord("b") << 8 | ord("x") in toxicity.build(counts).keys
+
+    docs, labels = (batches.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.select("doc_id", "text").unionByName(docs.select((F.col("doc_id") + 10**6).alias("doc_id"), F.lit("plain words; plain").alias("text")).limit(9))
+    want, got = toxicity.learn(docs, labels), toxicity.learn(docs, labels, most=10)
+    assert isinstance(want.model, toxicity.Model) and isinstance(got.model, toxicity.Tables)
+    assert (got.intercept, got.slope) == pytest.approx((want.intercept, want.slope), abs=1e-9)
+    rows = [{r.doc_id: r.score for r in toxicity.score(docs, j).select("doc_id", "score").collect()} for j in (want, got)]
+    assert rows[1] == pytest.approx(rows[0], abs=1e-9) and len(rows[0]) > 200
+
+
 def test_curve():
     x = np.array([0.0, 1.0, 2.0, 3.0])
     a, b = toxicity.logistic(x, np.array([50.0, 20, 5, 0]), np.array([0.0, 5, 20, 50]))
