@@ -107,6 +107,14 @@ def _counts(df: DataFrame) -> dict[date, int]:
     return {r.source_month: r.n for r in rows}
 
 
+def _month_counts(firsts: list[date]) -> Column:
+    """Rows per month as one aggregate, whatever the number of months: an expression for each would be evaluated for every row.
+
+    The sketch keeps a counter for every item while there are no more than it may track, so its counts are exact here.
+    """
+    return F.call_function("approx_top_k", F.col("source_month"), F.lit(len(firsts)), F.lit(max(1000, 2 * len(firsts))))
+
+
 def run_months(
     spark: SparkSession,
     typed: DataFrame,
@@ -151,11 +159,10 @@ def run_months(
     for zone, (part, schema) in outputs.items():
         declared = select_declared(part, schema)
         check_schema(declared.schema, schema, zone)
-        counts = {f"{d:%Y-%m-%d}": F.count_if(F.col("source_month") == F.lit(d)) for d in firsts}
         seen = lake.swap_partitions(
-            _with_layout(declared), f"{root}/{zone}", ["year", "month"], sort=CLUSTER[zone], observed=counts
+            _with_layout(declared), f"{root}/{zone}", ["year", "month"], sort=CLUSTER[zone], observed={"n": _month_counts(firsts)}
         )
-        written[zone] = {date.fromisoformat(d): n for d, n in seen.items()}
+        written[zone] = {r["item"]: r["count"] for r in seen["n"]}
     for zone, column in (("curated", "curated_rows"), ("quarantine", "quarantined_rows")):
         for month in months:
             if month.first not in said or said[month.first][column] == 0:
