@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from monthlake.functions.columns import computed_once, whole_seconds
 from monthlake.functions.contract import FLAGS, TRIPS
 from monthlake.operators.rules import IDENTITY, first_failed, has_any_flag, row_flags, stream_rules
-from monthlake.operators.skew import DEFAULT_POLICY, HotPolicy, group_total, hot_keys, slot_of, split_hot
+from monthlake.operators.skew import DEFAULT_POLICY, HotPolicy, group_total, hot_keys, key_hash, slot_of, split_hot
+from monthlake.plans.joins import dimension
 from monthlake.plans.star import FACT_COLUMNS
+from monthlake.session import shared_folder
 
 # Columns of the unified view, in order.
 UNIFIED_COLUMNS = (
@@ -53,24 +55,63 @@ def ruled_events(deliveries: DataFrame) -> DataFrame:
     return computed_once(typed_events(first_deliveries(deliveries)), "reject_reason", first_failed(stream_rules()))
 
 
+def several_trips(deliveries: DataFrame) -> DataFrame:
+    """_event: hashes of the events that were delivered with more than one trip identity, written once.
+
+    Only hashes are shuffled, one row for each event. Two events of one hash may be listed, which changes no result.
+    """
+    trip = key_hash(IDENTITY)
+    per_event = deliveries.select(key_hash(["event_id"]).alias("_event"), trip.alias("_trip")).groupBy("_event")
+    several = per_event.agg(F.min("_trip").alias("_a"), F.max("_trip").alias("_b")).filter("_a != _b").select("_event")
+    path = shared_folder(deliveries.sparkSession, "several")
+    several.write.parquet(path)
+    return deliveries.sparkSession.read.parquet(path)
+
+
+def _judged_by_trip(deliveries: DataFrame, twin: list) -> DataFrame:
+    """Judged events with _twins by one exchange of whole rows, for events that come with one trip identity each.
+
+    Fills, derived columns and reasons are found behind the exchange, so they are not shuffled.
+    """
+    rows = deliveries.repartition(*IDENTITY).withColumn("_key", key_hash(IDENTITY))
+    order = W.partitionBy("_key", *IDENTITY, "event_id").orderBy("publish_time", "message_id")
+    first = rows.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth")
+    events = computed_once(typed_events(first), "reject_reason", first_failed(stream_rules()))
+    return events.withColumn("_twins", F.count(F.lit(1)).over(W.partitionBy("_key", *twin))).drop("_key")
+
+
 def judged_events(deliveries: DataFrame, policy: HotPolicy | None = DEFAULT_POLICY) -> DataFrame:
     """First deliveries with the first failed rule and the soft flags.
 
-    Near duplicates of ordinary trips are counted by one window over the trip's identity. Trips of more deliveries
+    Rows are exchanged by trip, and both the first delivery of an event and its near duplicates are found there. Events
+    delivered with several trips are brought together by event before that. Trips of more deliveries
     than the policy allows, which are found by counting a sample, are counted by slots, so that no identity fills a task.
+    Without a policy nothing is looked for: rows are exchanged by event, then by trip.
     """
     kept = F.col("reject_reason").isNull()
-    events = ruled_events(deliveries)
     twin = [*IDENTITY, "fare_amount", kept]
-    hot = hot_keys(deliveries, IDENTITY, policy) if policy else None
-    if hot is None or hot.isEmpty():
-        counted = events.withColumn("_twins", F.count(F.lit(1)).over(W.partitionBy(*twin)))
-    else:
-        ordinary, heavy = split_hot(events, IDENTITY, hot)
-        keyed = heavy.withColumns({"_twin": F.struct(*twin[:-1], kept.alias("kept")), "_slot": slot_of(F.md5("event_id"))})
-        counted = ordinary.withColumn("_twins", F.count(F.lit(1)).over(W.partitionBy(*twin))).unionByName(
-            group_total(keyed, "_twin", "_slot", F.lit(1), "_twins").drop("_twin", "_slot")
-        )
+    if policy is None:
+        counted = ruled_events(deliveries).withColumn("_twins", F.count(F.lit(1)).over(W.partitionBy(*twin)))
+        return _flagged(counted)
+    several = several_trips(deliveries)
+    rows = deliveries
+    if not several.isEmpty():
+        side, same = dimension(several), key_hash(["event_id"]) == F.col("_event")
+        apart = first_deliveries(deliveries.join(side, same, "left_semi"))
+        rows = deliveries.join(side, same, "left_anti").unionByName(apart)
+    hot = hot_keys(deliveries, IDENTITY, policy)
+    if hot.isEmpty():
+        return _flagged(_judged_by_trip(rows, twin))
+    ordinary, crowded = split_hot(rows, IDENTITY, hot)
+    heavy = ruled_events(crowded)
+    keyed = heavy.withColumns({"_twin": F.struct(*twin[:-1], kept.alias("kept")), "_slot": slot_of(F.md5("event_id"))})
+    return _flagged(
+        _judged_by_trip(ordinary, twin).unionByName(group_total(keyed, "_twin", "_slot", F.lit(1), "_twins").drop("_twin", "_slot"))
+    )
+
+
+def _flagged(counted: DataFrame) -> DataFrame:
+    kept = F.col("reject_reason").isNull()
     flags = {**row_flags(), "is_near_duplicate": kept & F.coalesce(F.col("_twins") > 1, F.lit(False))}
     return (
         counted.withColumns(flags)
