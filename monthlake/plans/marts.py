@@ -14,6 +14,11 @@ from monthlake.sources import fs, lake
 # Miles are summed as decimals, so totals do not depend on the order of tasks. Each is rounded to twelve places
 # first, which holds every digit a distance in miles is written with.
 EXACT_MILES = "decimal(38,12)"
+# Columns of the fact that the daily mart reads.
+DAILY_READS = (
+    "pickup_date", "has_quality_flag", "passenger_count", "payment_type", "trip_distance_miles", "fare_amount",
+    "tip_amount", "total_amount",
+)
 
 
 def _count():
