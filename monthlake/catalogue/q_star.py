@@ -169,8 +169,8 @@ def incremental_overwrite(spark, sf):
     """Full build, then one month built again: the other months stay, nothing is doubled."""
     curated = lake.read_table(spark, _curated_table(spark, sf))
     path = shared_folder(spark, "fact")
-    star.build_fact(spark, curated, path)
-    star.build_fact(spark, curated, path, month=Month.of("1998-03"))
+    star.build_fact(spark, curated, path, grouped=True)
+    star.build_fact(spark, curated, path, month=Month.of("1998-03"), grouped=True)
     return _per_month(lake.read_table(spark, path))
 
 
@@ -184,7 +184,7 @@ def month_window(spark, sf):
     """A named month narrows the first build as well."""
     curated = lake.read_table(spark, _curated_table(spark, sf))
     path = shared_folder(spark, "fact")
-    star.build_fact(spark, curated, path, month=Month.of("1998-03"))
+    star.build_fact(spark, curated, path, month=Month.of("1998-03"), grouped=True)
     return _per_month(lake.read_table(spark, path))
 
 
@@ -197,8 +197,8 @@ def newest_month(spark, sf):
     curated = lake.read_table(spark, _curated_table(spark, sf))
     path = shared_folder(spark, "fact")
     early = F.col("pickup_datetime") < F.lit("2000-05-17 00:00:00").cast("timestamp_ntz")
-    star.build_fact(spark, curated.filter(early), path)
-    star.build_fact(spark, curated, path)
+    star.build_fact(spark, curated.filter(early), path, grouped=True)
+    star.build_fact(spark, curated, path, grouped=True)
     return _per_month(lake.read_table(spark, path))
 
 
@@ -209,5 +209,5 @@ def newest_month(spark, sf):
 def high_water(spark, sf):
     """The mark as the fact build stores it."""
     path = shared_folder(spark, "fact")
-    star.build_fact(spark, lake.read_table(spark, _curated_table(spark, sf)), path)
+    star.build_fact(spark, lake.read_table(spark, _curated_table(spark, sf)), path, grouped=True)
     return star.stored_mark(spark, path)

@@ -189,11 +189,13 @@ def build_fact(
     month: Month | None = None,
     min_month: Month | None = None,
     full_refresh: bool = False,
+    grouped: bool = False,
 ) -> None:
     """Write the fact: one named month, or from the newest month present on, or everything.
 
     A named month narrows the first build too. Only partitions present in the new rows are
-    replaced; a changed schema fails an incremental build.
+    replaced; a changed schema fails an incremental build. `grouped`: curated is read from a table partitioned by
+    source month, so its rows need no exchange (see `lake.swap_partitions`).
     """
     rows = curated
     key = F.col("source_month")
@@ -213,6 +215,7 @@ def build_fact(
         ["source_month"],
         sort=["pu_location_id", "do_location_id"],
         full_refresh=not built,
+        grouped=grouped,
     )
     if fs.child_dirs(spark, path):
         _store_mark(spark, path)

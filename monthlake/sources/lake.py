@@ -31,6 +31,7 @@ def swap_partitions(
     sort: Sequence[str] = (),
     full_refresh: bool = False,
     observed: dict[str, Column] | None = None,
+    grouped: bool = False,
 ) -> dict[str, int]:
     """Replace exactly the partitions present in `df`; with full_refresh, the whole table.
 
@@ -39,8 +40,11 @@ def swap_partitions(
 
     `observed` are aggregates over the rows as they go to the writer; their values are returned. They are
     measured behind the last exchange, in the tasks that write, so a task that runs again is not counted twice.
+
+    `grouped`: the rows are read from a table of the same partitions, whose files are of a good size already; each task
+    writes the partitions it reads, and no row is exchanged.
     """
-    shaped = df.hint("rebalance", *by)
+    shaped = df if grouped else df.hint("rebalance", *by)
     if sort:
         shaped = shaped.sortWithinPartitions(*by, *sort)
     measured = Observation()
