@@ -50,6 +50,14 @@ UNIQUE = {
     "seed_zones": "location_id", "seed_vendors": "vendor_id", "seed_rate_codes": "ratecode_id",
     "seed_payment_types": "payment_type",
 }
+# Columns that the tests and the marts read: of the fact (and staging), of judged events, and of the live fact.
+FACT_READS = (
+    "trip_id", "pickup_partition_ts", "pickup_datetime", "dropoff_datetime", "pickup_date", "pickup_hour",
+    "trip_duration_seconds", "vendor_id", "ratecode_id", "payment_type", "pu_location_id", "do_location_id",
+    "passenger_count", "trip_distance_miles", "fare_amount", "tip_amount", "total_amount", "has_quality_flag",
+)
+EVENT_READS = ("event_id", "reject_reason", "pu_location_id", "vendor_id")
+LIVE_READS = ("trip_id", "pu_location_id", "vendor_id")
 AIRPORT_CODES = sorted(code for code, _ in AIRPORTS.values())
 ACCEPTED = {
     ("staging", "vendor_id"): [1, 2, 4, 5, 6, 7],

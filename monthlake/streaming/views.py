@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -130,20 +132,21 @@ def published_within(deliveries: DataFrame, as_of: Column, span: str, repeats: s
     return deliveries.filter(F.col("publish_date") >= F.to_date(oldest)).drop("publish_date")
 
 
-def fact_live(judged: DataFrame) -> DataFrame:
-    """Accepted events in the fact's shape; there is no source month, but a publish time."""
-    columns = [c for c in FACT_COLUMNS if c != "source_month"]
-    return (
-        judged.filter(F.col("reject_reason").isNull())
-        .withColumns(
-            {
-                "trip_id": F.col("event_id"),
-                "pickup_partition_ts": F.col("pickup_datetime").cast("timestamp"),
-                "has_quality_flag": has_any_flag(FLAGS),
-            }
-        )
-        .select(*columns, "publish_time")
-    )
+LIVE_COLUMNS = (*[c for c in FACT_COLUMNS if c != "source_month"], "publish_time")
+
+
+def fact_live(judged: DataFrame, columns: Sequence[str] = LIVE_COLUMNS) -> DataFrame:
+    """Accepted events in the fact's shape; there is no source month, but a publish time.
+
+    With fewer columns, `judged` needs only what these are made of.
+    """
+    derived = {
+        "trip_id": F.col("event_id"),
+        "pickup_partition_ts": F.col("pickup_datetime").cast("timestamp"),
+        "has_quality_flag": has_any_flag(FLAGS),
+    }
+    accepted = judged.filter(F.col("reject_reason").isNull())
+    return accepted.withColumns({n: c for n, c in derived.items() if n in columns}).select(*columns)
 
 
 def fact_unified(fact: DataFrame, live: DataFrame, mark: DataFrame) -> DataFrame:
