@@ -5,20 +5,23 @@ after a later one, or a trip's twin after the trip, the row in question is sent
 tables of updates, one directory a batch, and a reader takes the last word on each event. The last word does not
 depend on how deliveries were dealt to batches.
 
-State is one small row for each key. A timer drops it `keep` after the time of the key's first delivery; a
-repeat later than that counts as new, and a delivery later than `lateness` behind the newest one is
-left out here (it stays in the delivery table, whose views are exact at read time).
+State is one small entry for each key; keys are dealt to buckets by hash, whose entries are kept together. An entry goes
+`keep` after the time of the key's first delivery; a repeat later than that counts as new, and a delivery later than
+`lateness` behind the newest one is left out here (it stays in the delivery table, whose views are exact at read time).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Iterable, Iterator
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from monthlake.functions.columns import computed_once
+from monthlake.functions.columns import computed_once, row_fingerprint
 from monthlake.operators.rules import IDENTITY, first_failed, row_flags, stream_rules
 from monthlake.sources import fs
 from monthlake.streaming.ingest import DELIVERED
@@ -26,157 +29,230 @@ from monthlake.streaming.views import first_deliveries, typed_events
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DAY_MS = 86_400_000
+MINUTE = 60_000_000  # microseconds
+#: Keys are dealt to so many buckets. A checkpoint keeps to the number it began with.
+BUCKETS = 1024
+#: Chunks of a bucket that are folded into one, and parts of `keep` by which entries are dropped together.
+FOLD, SLOTS = 16, 24
 DELIVERY = "delivery"  # the outcome under which every delivery counts
+REJECTED = ""  # the trip of an event that failed a rule
 COUNTS = "minute timestamp, outcome string, events bigint, amount decimal(25,2), publish_date date, batch_id int"
 
 
-class FirstDelivery(StatefulProcessor):
-    """Passes on the least delivery of an event by (publish time, message), and each one that is less."""
+class Bucket(StatefulProcessor):
+    """State of the keys of one bucket: entries [key, at, ...] as chunks of text, later ones over earlier ones.
+
+    A call between Spark and a Python worker costs as much as hundreds of rows. So there are a few for each bucket and batch,
+    however many keys come: the chunks are read, what changed is appended, and `FOLD` chunks are put together.
+    An entry's time is over when the watermark has passed it by `keep`; what comes later than `keep` after it is new then. A
+    timer takes such entries away, a part in `SLOTS` of `keep` later at most.
+    """
 
-    def __init__(self, keep_ms: int, columns: tuple[str, ...] = tuple(DELIVERED)):
-        self.keep_ms, self.columns = keep_ms, columns
+    #: Columns that `changes` takes, event_id or another key first, and columns that it sends.
+    takes: tuple[str, ...]
+    sends: tuple[str, ...]
+
+    def __init__(self, keep_ms: int):
+        self.keep_ms, self.slot_ms = keep_ms, max(1, keep_ms // SLOTS)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.least = handle.getValueState("least", "at bigint, message string")
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        first = min(rows, key=lambda r: (r._at, r._message))
-        order = (first._at, first._message)
-        known = self.least.get() if self.least.exists() else None
-        if known is not None:
-            if tuple(known) <= order:
-                return
-            self.handle.deleteTimer(known[0] // 1000 + self.keep_ms)
-        self.least.update(order)
-        self.handle.registerTimer(first._at // 1000 + self.keep_ms)
-        yield Row(**{c: first[c] for c in self.columns})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.least.clear()
+        self.chunks = handle.getListState("chunks", "entries string")
+
+    def changes(self, rows: Iterator[tuple], known: Known) -> Iterable[tuple]:
+        """What is sent for the rows of a batch; new entries are put into `known`."""
+        raise NotImplementedError
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        chunks = self._read()
+        known = Known(chunks, self.keep_ms, timerValues.getCurrentWatermarkInMs())
+        slots = {self._slot(e) for e in known.entries.values()}
+        taken = (row for frame in rows for row in zip(*(frame[c].tolist() for c in self.takes), strict=True))
+        sent = list(self.changes(taken, known))
+        if known.changed:
+            if len(chunks) < FOLD:
+                self.chunks.appendValue((json.dumps(list(known.changed.values())),))
+            else:
+                self.chunks.put([(json.dumps(list(known.entries.values())),)])
+            for slot in {self._slot(e) for e in known.changed.values()} - slots:
+                self.handle.registerTimer(slot)
+        if sent:
+            yield pd.DataFrame(sent, columns=list(self.sends))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        chunks, now = self._read(), timerValues.getCurrentWatermarkInMs()
+        entries = Known(chunks, self.keep_ms, now).entries.values()
+        left = [e for e in entries if e[1] // 1000 + self.keep_ms > now]
+        if not left:
+            self.chunks.clear()
+        elif len(left) < len(entries):
+            self.chunks.put([(json.dumps(left),)])
         return iter(())
 
+    def _read(self) -> list:
+        return [json.loads(text) for (text,) in self.chunks.get()]
+
+    def _slot(self, entry: list) -> int:
+        return ((entry[1] // 1000 + self.keep_ms) // self.slot_ms + 1) * self.slot_ms
+
+
+class Known:
+    """The entries of a bucket while a batch is handled."""
+
+    def __init__(self, chunks: list, keep_ms: int, watermark_ms: int):
+        self.keep, self.over = keep_ms * 1000, watermark_ms - keep_ms
+        self.entries = {e[0]: e for chunk in chunks for e in chunk}
+        self.changed: dict = {}
+
+    def get(self, key: str, at: int) -> list | None:
+        """The entry that a row of this time meets; None when there is none or its time is over."""
+        e = self.entries.get(key)
+        gone = e is not None and e[1] // 1000 <= self.over and at > e[1] + self.keep
+        return None if gone else e
 
-class OutcomeCounts(StatefulProcessor):
-    """What each delivery changes in the counts by minute and outcome.
+    def put(self, entry: list) -> None:
+        self.entries[entry[0]] = self.changed[entry[0]] = entry
+
+
+def _firsts(rows: Iterable[tuple]) -> Iterable[tuple]:
+    """Of rows (event_id, at, message, ...) the least of each event."""
+    firsts: dict = {}
+    for r in rows:
+        first = firsts.get(r[0])
+        if first is None or r[1:3] < first[1:3]:
+            firsts[r[0]] = r
+    return firsts.values()
+
+
+class FirstDelivery(Bucket):
+    """Passes on the least delivery of an event by (publish time, message), and each one that is less."""
+
+    def __init__(self, keep_ms: int, carried: tuple[str, ...]):
+        super().__init__(keep_ms)
+        self.takes, self.sends = ("event_id", "at", "message", *carried), ("event_id", "at", *carried)
+
+    def changes(self, rows: Iterator[tuple], known: Known) -> Iterable[tuple]:
+        for event, at, message, *carried in _firsts(rows):
+            least = known.get(event, at)
+            if least is None or (at, message) < (least[1], least[2]):
+                known.put([event, at, message])
+                yield event, at, *carried
+
+
+class OutcomeCounts(Bucket):
+    """What deliveries change in the counts by minute and outcome, summed for a bucket and batch.
 
     The first delivery of an event counts in its minute under its outcome; every delivery counts as one. When an earlier
     one comes, what the later one gave is taken back. So sums of changes are right at any time.
     """
 
-    def __init__(self, keep_ms: int):
-        self.keep_ms = keep_ms
+    takes, sends = ("event_id", "at", "message", "outcome", "cents"), ("at", "outcome", "events", "amount")
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.least = handle.getValueState("least", "at bigint, message string, outcome string, amount decimal(15,2)")
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        first = None
-        for r in rows:
-            yield Row(at=r._at, outcome=DELIVERY, events=1, amount=None)
-            if first is None or (r._at, r._message) < (first._at, first._message):
-                first = r
-        known = self.least.get() if self.least.exists() else None
-        if known is not None:
-            if tuple(known[:2]) <= (first._at, first._message):
-                return
-            self.handle.deleteTimer(known[0] // 1000 + self.keep_ms)
-            yield Row(at=known[0], outcome=known[2], events=-1, amount=None if known[3] is None else -known[3])
-        self.least.update((first._at, first._message, first._outcome, first.total_amount))
-        self.handle.registerTimer(first._at // 1000 + self.keep_ms)
-        yield Row(at=first._at, outcome=first._outcome, events=1, amount=first.total_amount)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.least.clear()
-        return iter(())
+    def changes(self, rows: Iterator[tuple], known: Known) -> Iterable[tuple]:
+        sums: dict = {}
+
+        def add(at: int, outcome: str, events: int, cents: str | None) -> None:
+            total = sums.setdefault((at - at % MINUTE, outcome), [0, None])
+            total[0] += events
+            if cents is not None:
+                total[1] = (total[1] or 0) + events * int(cents)
+
+        def every() -> Iterator[tuple]:
+            for r in rows:
+                add(r[1], DELIVERY, 1, None)
+                yield r
 
+        for first in _firsts(every()):
+            event, at, message, outcome, cents = first
+            least = known.get(event, at)
+            if least is not None:
+                if (least[1], least[2]) <= (at, message):
+                    continue
+                add(least[1], least[3], -1, least[4])
+            known.put(list(first))
+            add(at, outcome, 1, cents)
+        for (at, outcome), (events, cents) in sums.items():
+            yield at, outcome, events, None if cents is None else Decimal(cents).scaleb(-2)
 
-class TwinFlag(StatefulProcessor):
+
+class TwinFlag(Bucket):
     """Flags events that share a trip's identity and fare with another accepted event.
 
     Of each trip the first event is kept, and whether a second one came. Only the first has to be
-    corrected; all others are twins when they arrive. So a trip with millions of events costs one row.
+    corrected; all others are twins when they arrive. So a trip with millions of events costs one entry.
     """
 
-    def __init__(self, keep_ms: int):
-        self.keep_ms = keep_ms
+    takes, sends = ("trip", "at", "event_id"), ("event_id", "is_near_duplicate")
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.trip = handle.getValueState("trip", "event_id string, twinned boolean, at bigint")
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        first, twinned, at = self.trip.get() if self.trip.exists() else (None, False, None)
-        new = first is None
-        for r in rows:
-            if not r._kept:
-                yield Row(event_id=r.event_id, is_near_duplicate=False)
+    def changes(self, rows: Iterator[tuple], known: Known) -> Iterable[tuple]:
+        flags: dict = {}
+        for trip, at, event in rows:
+            if trip == REJECTED:
+                flags.setdefault(event, False)
                 continue
+            first = known.get(trip, at)
             if first is None:
-                first, at = r.event_id, r._at
-            elif r.event_id != first and not twinned:
-                twinned = True
-                yield Row(event_id=first, is_near_duplicate=True)
-            yield Row(event_id=r.event_id, is_near_duplicate=twinned)
-        if first is not None:
-            self.trip.update((first, twinned, at))
-            if new:
-                self.handle.registerTimer(at // 1000 + self.keep_ms)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.trip.clear()
-        return iter(())
+                first = [trip, at, event, False]
+                known.put(first)
+            elif event != first[2] and not first[3]:
+                first = [*first[:3], True]
+                known.put(first)
+                flags[first[2]] = True
+            flags[event] = flags.get(event, False) or first[3]
+        return flags.items()
 
 
 def _timed(deliveries: DataFrame, lateness: str) -> DataFrame:
     """The delivery time in whole microseconds: no clock of a Python worker takes part."""
     return deliveries.withColumns(
-        {"_at": F.unix_micros("publish_time"), "_message": F.coalesce("message_id", F.lit(""))}
+        {"at": F.unix_micros("publish_time"), "message": F.coalesce("message_id", F.lit(""))}
     ).withWatermark("publish_time", lateness)
 
 
-def first_seen(deliveries: DataFrame, lateness: str = "1 hour", keep_days: float = 1.0) -> DataFrame:
-    """A stream of deliveries as updates: the least delivery of each event known so far, with the columns given."""
-    columns = tuple(c for c in DELIVERED if c in deliveries.columns)
-    schema = deliveries.select(*columns).schema
+def _kept_by(rows: DataFrame, key: Column, buckets: int, processor: Bucket, schema: str) -> DataFrame:
+    """The rows through keyed state; each key lies in one bucket. Frames hold texts and whole numbers alone, which pandas keeps exact."""
     return (
-        _timed(deliveries.select(*columns), lateness)
-        .groupBy("event_id")
-        .transformWithState(FirstDelivery(int(keep_days * DAY_MS), columns), schema, "Update", "EventTime")
+        rows.select("publish_time", *processor.takes, F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"))
+        .groupBy("bucket")
+        .transformWithStateInPandas(processor, schema, "Update", "EventTime")
     )
 
 
-def twin_flags(deliveries: DataFrame, lateness: str = "1 hour", keep_days: float = 1.0) -> DataFrame:
+def first_seen(deliveries: DataFrame, lateness: str = "1 hour", keep_days: float = 1.0, buckets: int = BUCKETS) -> DataFrame:
+    """A stream of deliveries as updates: the least delivery of each event known so far, with the columns given."""
+    given = deliveries.select(*[c for c in DELIVERED if c in deliveries.columns])
+    carried = {f.name: f.dataType for f in given.schema if f.name not in ("event_id", "publish_time")}
+    rows = _timed(given, lateness).withColumns({c: F.col(c).cast("string") for c in carried})
+    processor = FirstDelivery(int(keep_days * DAY_MS), tuple(carried))
+    schema = ", ".join(["event_id string, at bigint", *[f"{c} string" for c in carried]])
+    kept = _kept_by(rows, F.col("event_id"), buckets, processor, schema)
+    back = {"publish_time": F.timestamp_micros("at"), **{c: F.col(c).cast(kind) for c, kind in carried.items()}}
+    return kept.withColumns(back).select(*given.columns)
+
+
+def _judged(deliveries: DataFrame, lateness: str) -> DataFrame:
+    return computed_once(typed_events(_timed(deliveries, lateness)), "reject_reason", first_failed(stream_rules()))
+
+
+def twin_flags(deliveries: DataFrame, lateness: str = "1 hour", keep_days: float = 1.0, buckets: int = BUCKETS) -> DataFrame:
     """A stream of deliveries as updates event_id, is_near_duplicate.
 
     Repeats of one event are no twins of each other. Rejected events are never flagged.
     """
-    typed = typed_events(_timed(deliveries, lateness))
-    judged = computed_once(typed, "reject_reason", first_failed(stream_rules()))
-    kept = F.col("reject_reason").isNull().alias("_kept")
-    keyed = judged.select("publish_time", "event_id", *IDENTITY, "fare_amount", kept, "_at")
-    return keyed.groupBy(*IDENTITY, "fare_amount", "_kept").transformWithState(
-        TwinFlag(int(keep_days * DAY_MS)), "event_id string, is_near_duplicate boolean", "Update", "EventTime"
-    )
+    trip = F.when(F.col("reject_reason").isNull(), row_fingerprint([*IDENTITY, "fare_amount"])).otherwise(REJECTED)
+    rows = _judged(deliveries, lateness).select("publish_time", "event_id", "at", trip.alias("trip"))
+    key = F.when(F.col("trip") == REJECTED, F.col("event_id")).otherwise(F.col("trip"))
+    schema = "event_id string, is_near_duplicate boolean"
+    return _kept_by(rows, key, buckets, TwinFlag(int(keep_days * DAY_MS)), schema)
 
 
-def outcome_changes(deliveries: DataFrame, lateness: str = "1 hour", keep_days: float = 1.0) -> DataFrame:
-    """A stream of deliveries as changes at (microseconds), outcome (kept or the first failed rule), events, amount."""
-    typed = typed_events(_timed(deliveries, lateness))
-    judged = computed_once(typed, "reject_reason", first_failed(stream_rules()))
-    outcome = F.coalesce("reject_reason", F.lit("kept")).alias("_outcome")
-    amount = F.col("total_amount").cast("decimal(15,2)").alias("total_amount")
-    return (
-        judged.select("publish_time", "event_id", "_at", "_message", outcome, amount)
-        .groupBy("event_id")
-        .transformWithState(
-            OutcomeCounts(int(keep_days * DAY_MS)),
-            "at bigint, outcome string, events bigint, amount decimal(15,2)",
-            "Update",
-            "EventTime",
-        )
-    )
+def outcome_changes(deliveries: DataFrame, lateness: str = "1 hour", keep_days: float = 1.0, buckets: int = BUCKETS) -> DataFrame:
+    """A stream of deliveries as changes at (microseconds, whole minutes), outcome (kept or the first failed rule), events, amount."""
+    outcome = F.coalesce("reject_reason", F.lit("kept")).alias("outcome")
+    cents = (F.col("total_amount").cast("decimal(15,2)") * 100).cast("bigint").cast("string").alias("cents")
+    rows = _judged(deliveries, lateness).select("publish_time", "event_id", "at", "message", outcome, cents)
+    schema = "at bigint, outcome string, events bigint, amount decimal(25,2)"
+    return _kept_by(rows, F.col("event_id"), buckets, OutcomeCounts(int(keep_days * DAY_MS)), schema)
 
 
 def start_counts(changes: DataFrame, table: str, checkpoint: str, **trigger) -> StreamingQuery:
@@ -185,7 +261,7 @@ def start_counts(changes: DataFrame, table: str, checkpoint: str, **trigger) ->
     def write(batch: DataFrame, batch_id: int) -> None:
         minute = F.date_trunc("minute", F.timestamp_micros("at"))
         summed = batch.groupBy(minute.alias("minute"), "outcome").agg(
-            F.sum("events").alias("events"), F.sum("amount").alias("amount")
+            F.sum("events").alias("events"), F.sum("amount").cast("decimal(25,2)").alias("amount")
         )
         (
             summed.filter((F.col("events") != 0) | (F.col("amount") != 0))
